@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gleaner.session import ship
+
 
 def shared_folder(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -28,7 +30,7 @@ class Scratch:
     """Names tables of one run in a folder of its own."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path, self._count = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
+        self.spark, self.path, self._count = ship(spark), f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
 
     def place(self, name: str) -> str:
         self._count += 1

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,17 @@ DEFAULTS = {
 }
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once for each Spark context."""
+    context = spark.sparkContext
+    if not getattr(context, "_gleaner_shipped", False):
+        home = os.path.dirname(os.path.abspath(__file__))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "gleaner"), "zip", os.path.dirname(home), os.path.basename(home))
+        context.addPyFile(archive)
+        context._gleaner_shipped = True
+    return spark
+
+
 def build_session(master: str = "local[*]", partitions: int = 8, **extra: str) -> SparkSession:
     """A session for tests and the bench; on a cluster the caller brings its own."""
     conf = DEFAULTS | {"spark.sql.shuffle.partitions": str(partitions), "spark.driver.memory": os.environ.get("GLEANER_DRIVER_MEMORY", "6g")} | extra
@@ -28,6 +41,7 @@ def build_session(master: str = "local[*]", partitions: int = 8, **extra: str) -
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder. NTZ timestamps become UTC timestamps at the scan."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     for column, kind in df.dtypes:
         if kind == "timestamp_ntz":
