@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import mixing, simhash, warc
+from gleaner.llm import importance, mixing, quality_rules, simhash, toxicity, warc
 from gleaner.scratch import Scratch
 from gleaner.session import table
 
 
+def op1_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -48,6 +52,14 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies
 """
 
 
+def op5_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), limit=20_000)
+
+
+def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), limit=20_000, seed=11)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, seed=42, distance=3)
 
@@ -69,5 +81,5 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
-QUERIES = {"op2_mix_sources": op2_mix_sources, "op7_simhash": op7_simhash, "op10_warc_revisits": op10_warc_revisits}
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_mix_sources, op5_severity, op6_importance, op7_simhash, op10_warc_revisits)}
 ORACLES = {"op2_mix_sources": OP2_SQL, "op10_warc_revisits": OP10_SQL}
