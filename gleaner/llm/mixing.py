@@ -25,6 +25,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 SEED = "mix-1"
 #: Bins of the seeded order of each source: the first three hex digits.
 DIGITS = 3
+#: Sources that are broadcast at most; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def word_count(text: Column) -> Column:
@@ -70,10 +72,9 @@ def seeded(doc_id: str, seed: str = SEED) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
 
 
-def mix(docs: DataFrame, epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3), seed: str = SEED, scratch: Scratch | None = None) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` of every row:
-    copies is the number of times that the mix takes it, taken its words."""
-    scratch = scratch or Scratch(docs.sparkSession, "mix")
+def decide(docs: DataFrame, epochs: int, cycle: tuple[int, ...], seed: str, scratch: Scratch) -> DataFrame:
+    """``doc_id, source, size, order, source_size, target, whole, extra`` of every
+    row: the whole repetitions, and one more or none for the fraction."""
     own = scratch.write(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), seeded("doc_id", seed).alias("order")), "sizes")
     own = own.withColumn("bin", F.substring("order", 1, DIGITS))
     bins = scratch.write(own.groupBy("source", "bin").agg(F.sum("size").alias("bin_size")), "bins")
@@ -92,5 +93,30 @@ def mix(docs: DataFrame, epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3), se
     edge = met.where("fate = 'boundary'").withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
     edge = edge.withColumn("extra", (2 * (F.col("before") + F.col("inner")) + F.col("size") <= 2 * F.col("part")).cast("long")).drop("inner")
     plain = met.where("fate != 'boundary'").withColumn("extra", (F.col("fate") == "in").cast("long"))
-    copies = F.col("whole") + F.when(F.col("size") > 0, F.col("extra")).otherwise(0)
-    return plain.unionByName(edge).withColumn("copies", copies).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    extra = F.when(F.col("size") > 0, F.col("extra")).otherwise(0)
+    return plain.unionByName(edge).select("doc_id", "source", "size", "order", "source_size", "target", "whole", extra.alias("extra"))
+
+
+def mix(docs: DataFrame, epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3), seed: str = SEED) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` of every row:
+    copies is the number of times that the mix takes it, taken its words."""
+    rows = decide(docs, epochs, cycle, seed, Scratch(docs.sparkSession, "mix")).withColumn("copies", F.col("whole") + F.col("extra"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3), seed: str = SEED) -> DataFrame:
+    """The mix itself: every row of docs as many times as the mix takes it, with
+    ``copy`` counting from 1. The decisions of a source come down to its whole
+    repetitions and the last place of the seeded order that gets one more, so no
+    text is shuffled; rows that repeat a doc_id are taken alike."""
+    scratch = Scratch(docs.sparkSession, "mix")
+    rows = decide(docs, epochs, cycle, seed, scratch)
+    limits = rows.groupBy(F.col("source").alias("_source")).agg(F.max("whole").alias("_whole"), F.max(F.when(F.col("extra") == 1, F.col("order"))).alias("_upto"))
+    limits = scratch.write(limits, "limits")
+    if limits.count() <= BROADCAST_ROWS:
+        limits = F.broadcast(limits)
+    met = docs.join(limits, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_order", seeded("doc_id", seed))
+    some = F.col("text").rlike(WORD)
+    extra = F.when(some & (F.col("_order") <= F.col("_upto")), 1).otherwise(0)
+    copies = met.withColumn("_copies", (F.col("_whole") + extra).cast("int")).where("_copies > 0")
+    return copies.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleaner.llm import importance, mixing, quality_rules, simhash, toxicity, warc
+from gleaner.llm import chat, contamination, importance, mixing, passages, quality_rules, simhash, toxicity, urls, warc
 from gleaner.scratch import Scratch
 from gleaner.session import table
 
@@ -52,6 +53,19 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies
 """
 
 
+def op3_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model is counted on half of the conversations (by hash) and parses all."""
+    scratch = Scratch(spark, "chat")
+    raw = scratch.write(chat.build_transcripts(table(spark, sf_dir, "conversations"), unmarked=12), "transcripts")
+    held_out = F.pmod(F.xxhash64("conv_id", F.lit(5)), F.lit(2)) == 1
+    model = chat.fit(raw.where(~held_out))
+    return chat.parse_transcripts(raw.withColumn("held_out", held_out), model, ["conv_id", "part", "deal", "held_out"], truth=F.col("truth"))
+
+
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_spans(table(spark, sf_dir, "documents"), min_line=25, min_run=12, threshold=0.8, shingle=5).drop("rk")
+
+
 def op5_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), limit=20_000)
 
@@ -64,6 +78,31 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, seed=42, distance=3)
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), urls.RULES)
+
+
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8, shingle=5).drop("rk")
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT DISTINCT doc_id, text, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM documents),
+b AS (
+  SELECT DISTINCT item_id, text, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM benchmark),
+bi AS (SELECT item_id, text, unnest(range(1, len(w) - 3)) AS i, w FROM b WHERE len(w) >= 5),
+bs AS (SELECT DISTINCT item_id, text, array_to_string(w[i:i+4], ' ') AS s FROM bi),
+bn AS (SELECT item_id, text, count(*) AS n_item FROM bs GROUP BY ALL),
+di AS (SELECT doc_id, text, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
+ds AS (SELECT DISTINCT doc_id, text, array_to_string(w[i:i+4], ' ') AS s FROM di)
+SELECT ds.doc_id, bs.item_id, count(*)::BIGINT AS n_shared, max(n_item)::BIGINT AS n_item, count(*) / max(n_item) AS containment
+FROM ds JOIN bs ON ds.s = bs.s JOIN bn ON bs.item_id IS NOT DISTINCT FROM bn.item_id AND bs.text = bn.text
+GROUP BY ds.doc_id, ds.text, bs.item_id, bs.text
+HAVING count(*) >= 0.8 * max(n_item) - 1e-9
+"""
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     archives = scratch.place("archives")
@@ -81,5 +120,8 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_mix_sources, op5_severity, op6_importance, op7_simhash, op10_warc_revisits)}
-ORACLES = {"op2_mix_sources": OP2_SQL, "op10_warc_revisits": OP10_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_divergence, op2_mix_sources, op3_transcripts, op4_passages, op5_severity, op6_importance, op7_simhash, op8_urls, op9_contamination, op10_warc_revisits)
+}
+ORACLES = {"op2_mix_sources": OP2_SQL, "op9_contamination": OP9_SQL, "op10_warc_revisits": OP10_SQL}
