@@ -258,7 +258,9 @@ def repeated_spans(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN
     gone_pieces = all_pieces(docs, places=True).join(owned, "uid").where("d > owner")
     gone_pieces = gone_pieces.select("d", "rk", "s", "n", "owner", F.col("uid").alias("cluster"), F.lit(False).alias("line"), "first", "last")
 
-    parts = scratch.write(gone_lines.unionByName(gone_pieces), "parts").withColumn("e", F.col("s") + F.col("n"))
+    parts = scratch.write(gone_lines.unionByName(gone_pieces), "parts")
+    scratch.drop(lines, member, owners, lowest, classes, owned)
+    parts = parts.withColumn("e", F.col("s") + F.col("n"))
     order = Window.partitionBy("d", "rk").orderBy("s", "e", "cluster")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.withColumn("new", (reach.isNull() | (F.col("s") > reach)).cast("int")).withColumn("span", F.sum("new").over(order))
@@ -286,8 +288,10 @@ def remove_spans(docs: DataFrame, scratch: Scratch | None = None, **how) -> Data
     """docs without repeated spans, with their columns; n_chars follows the text
     if there is such a column. Documents of which no word is left go."""
     scratch = scratch or Scratch(docs.sparkSession, "passages-cut")
-    spans = repeated_spans(docs, scratch=scratch, **how)
+    inner = Scratch(docs.sparkSession, "passages-spans")
+    spans = repeated_spans(docs, scratch=inner, **how)
     spans = scratch.write(spans.groupBy(F.col("rk").alias("_rk")).agg(F.collect_set(F.struct("start", "n_words")).alias("_spans")), "spans")
+    inner.clear()
 
     @F.pandas_udf("string")
     def without(texts: pd.Series, spans: pd.Series) -> pd.Series:
