@@ -44,6 +44,9 @@ SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.99
 #: Words on either side of a cut that its hash must be less than.
 REACH = 5
 BLOCK = 256
+#: Documents with spans whose spans are broadcast at most; beyond, documents and
+#: spans are brought together by a shuffle.
+BROADCAST_DOCS = 250_000
 NO_ID = (1 << 63) - 1
 
 _U = np.uint64
@@ -292,6 +295,8 @@ def remove_spans(docs: DataFrame, scratch: Scratch | None = None, **how) -> Data
     spans = repeated_spans(docs, scratch=inner, **how)
     spans = scratch.write(spans.groupBy(F.col("rk").alias("_rk")).agg(F.collect_set(F.struct("start", "n_words")).alias("_spans")), "spans")
     inner.clear()
+    if spans.count() <= BROADCAST_DOCS:
+        spans = F.broadcast(spans)
 
     @F.pandas_udf("string")
     def without(texts: pd.Series, spans: pd.Series) -> pd.Series:
