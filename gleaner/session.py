@@ -20,8 +20,15 @@ DEFAULTS = {
 }
 
 
+#: Bytes of a batch that goes to a Python worker, at most: texts have any length.
+BATCH_BYTES = 16 << 20
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers, once for each Spark context."""
+    """Send this package to the Python workers, once for each Spark context, and
+    bound the batches that they hold."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if not getattr(context, "_gleaner_shipped", False):
         home = os.path.dirname(os.path.abspath(__file__))
