@@ -20,3 +20,8 @@ def query(name: str, sql: str | None = None):
         return f
 
     return put
+
+
+def load() -> None:
+    """Import the modules whose plans register themselves."""
+    from gleaner.plans import scoring  # noqa: F401
