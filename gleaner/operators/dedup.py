@@ -97,8 +97,9 @@ def near_pairs(items: DataFrame, scratch: Scratch, threshold: float = JACCARD, m
 
 def star_merge(pairs: DataFrame, order: DataFrame, scratch: Scratch) -> DataFrame:
     """``item_id, canonical_id`` of items that a star takes. In rounds: an open item
-    without an earlier open neighbour is a centre, and takes its open neighbours
-    (the earliest centre wins). ``order``: item_id, place, unique."""
+    without an earlier open neighbour is a centre, and an item whose earliest open
+    neighbour is a centre is taken by it and closed; others wait, as an earlier
+    item may yet become the centre they belong to. ``order``: item_id, place, unique."""
     p = order.withColumnRenamed("place", "pa").withColumnRenamed("item_id", "a")
     q = order.withColumnRenamed("place", "pb").withColumnRenamed("item_id", "b")
     met = pairs.select("a", "b").join(p, "a").join(q, "b")
@@ -106,11 +107,12 @@ def star_merge(pairs: DataFrame, order: DataFrame, scratch: Scratch) -> DataFram
     open_edges = scratch.write(both.toDF("me", "mine", "other", "its"), "open")
     taken = None
     while open_edges.head(1):
-        centre = open_edges.groupBy("me", "mine").agg(F.min("its").alias("first")).where("mine < first").select(F.col("me").alias("centre"))
-        hit = open_edges.join(centre, F.col("other") == F.col("centre"), "left_semi").groupBy("me").agg(F.min(F.struct("its", "other")).alias("c")).select(F.col("me").alias("item_id"), F.col("c.other").alias("canonical_id"))
+        first = open_edges.groupBy("me", "mine").agg(F.min(F.struct("its", "other")).alias("c"))
+        centre = first.where("mine < c.its").select(F.col("me").alias("centre"))
+        hit = first.where("c.its < mine").join(centre, F.col("c.other") == F.col("centre"), "left_semi").select(F.col("me").alias("item_id"), F.col("c.other").alias("canonical_id"))
         hit = scratch.write(hit, "taken")
         taken = hit if taken is None else taken.union(hit)
-        closed = scratch.write(hit.select(F.col("item_id").alias("gone")).union(centre.select("centre")).distinct(), "closed")
+        closed = hit.select(F.col("item_id").alias("gone"))
         rest = open_edges.join(closed, F.col("me") == F.col("gone"), "left_anti").join(closed, F.col("other") == F.col("gone"), "left_anti")
         open_edges = scratch.write(rest, "open")
     return taken if taken is not None else pairs.select(F.col("a").alias("item_id"), F.col("b").alias("canonical_id")).limit(0)
