@@ -106,7 +106,7 @@ def mix(docs: DataFrame, epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3), se
 
 def mixed_documents(docs: DataFrame, epochs: int = 3, cycle: tuple[int, ...] = (1, 2, 3), seed: str = SEED) -> DataFrame:
     """The mix itself: every row of docs as many times as the mix takes it, with
-    ``copy`` counting from 1. The decisions of a source come down to its whole
+    ``copy`` counting from 1 (in place of a column of that name). The decisions of a source come down to its whole
     repetitions and the last place of the seeded order that gets one more, so no
     text is shuffled; rows that repeat a doc_id are taken alike."""
     scratch = Scratch(docs.sparkSession, "mix")
@@ -119,4 +119,4 @@ def mixed_documents(docs: DataFrame, epochs: int = 3, cycle: tuple[int, ...] = (
     some = F.col("text").rlike(WORD)
     extra = F.when(some & (F.col("_order") <= F.col("_upto")), 1).otherwise(0)
     copies = met.withColumn("_copies", (F.col("_whole") + extra).cast("int")).where("_copies > 0")
-    return copies.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
+    return copies.select(*[c for c in docs.columns if c != "copy"], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
