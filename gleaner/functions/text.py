@@ -53,14 +53,10 @@ def redact(text: Column) -> tuple[Column, Column]:
 
 def language_guess(text: Column) -> Column:
     """The language whose function words are met most often (ties by name); null if none is."""
-    own = words(F.coalesce(text, F.lit("")))
-    count = lambda known: F.size(F.filter(own, lambda w: w.isin(*known)))
-    hits = {lang: count(known) for lang, known in FUNCTION_WORDS.items()}
-    best = F.greatest(*hits.values())
-    guess = F.lit(None).cast("string")
-    for lang in sorted(hits, reverse=True):
-        guess = F.when(hits[lang] == best, F.lit(lang)).otherwise(guess)
-    return F.when(best > 0, guess)
+    low = F.lower(F.coalesce(text, F.lit("")))
+    count = lambda known: F.regexp_count(low, F.lit(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(known)})(?![\p{{L}}\p{{N}}])"))
+    scored = F.array_max(F.array(*[F.struct(count(FUNCTION_WORDS[lang]).alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang")) for i, lang in enumerate(sorted(FUNCTION_WORDS))]))
+    return F.when(scored["n"] > 0, scored["lang"])
 
 
 def eligibility(text: Column, language: Column, least_words: int, keyword: Column) -> Column:
