@@ -44,9 +44,6 @@ SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.99
 #: Words on either side of a cut that its hash must be less than.
 REACH = 5
 BLOCK = 256
-#: Documents with spans whose spans are broadcast at most; beyond, documents and
-#: spans are brought together by a shuffle.
-BROADCAST_DOCS = 250_000
 NO_ID = (1 << 63) - 1
 
 _U = np.uint64
@@ -295,17 +292,16 @@ def remove_spans(docs: DataFrame, scratch: Scratch | None = None, **how) -> Data
     spans = repeated_spans(docs, scratch=inner, **how)
     spans = scratch.write(spans.groupBy(F.col("rk").alias("_rk")).agg(F.collect_set(F.struct("start", "n_words")).alias("_spans")), "spans")
     inner.clear()
-    if spans.count() <= BROADCAST_DOCS:
-        spans = F.broadcast(spans)
 
-    @F.pandas_udf("string")
+    @F.pandas_udf("binary")
     def without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([cut(t, [(x["start"], x["n_words"]) for x in own]).decode("utf-8", "replace") for t, own in zip(texts, spans, strict=True)], dtype=object)
+        return pd.Series([t if own is None else cut(t, [(x["start"], x["n_words"]) for x in own]) for t, own in zip(texts, spans, strict=True)], dtype=object)
 
-    met = docs.withColumn("_rk", F.xxhash64("doc_id", "text")).join(spans, "_rk", "left")
-    plain = met.where("_spans is null").select(*docs.columns)
-    changed = met.where("_spans is not null").withColumn("text", without(F.col("text").cast("binary"), F.col("_spans")))
-    changed = changed.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    # one plan at every size: texts are shuffled once, a task builds on the spans alone, and
+    # the cut is not deterministic to the optimizer so that it runs once for a row
+    met = docs.withColumn("_rk", F.xxhash64("doc_id", "text")).join(spans.hint("shuffle_hash"), "_rk", "left")
+    met = met.withColumn("text", without.asNondeterministic()(F.col("text").cast("binary"), F.col("_spans")).cast("string"))
+    met = met.where(F.col("_spans").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return plain.unionByName(changed.select(*docs.columns))
+        met = met.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return met.select(*docs.columns)
