@@ -9,8 +9,9 @@ however long the document. Documents look their shingle hashes up in the
 sketches, and candidates alone are verified by exact containment of the shingle
 strings. DataFrame functions only.
 
-Sketches and item shingles are broadcast while they number BROADCAST_ROWS rows
-at most, and joined by shuffle beyond; candidates likewise.
+Sketches and item shingles are broadcast while they have BROADCAST_ROWS rows and
+BROADCAST_BYTES bytes of strings at most, and joined by shuffle beyond;
+candidates, pairs of hashes, by their rows alone.
 
 Defined cases: words are runs of letters and digits, lower-cased. Null and empty
 texts, and texts or items of fewer words than a shingle, match nothing. Rows that
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from gleaner.scratch import Scratch
 
 SHINGLE, THRESHOLD = 5, 0.8
-BROADCAST_ROWS = 2_000_000
+#: Rows, and bytes of their strings, of a frame that is broadcast, at most.
+BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
 
 
 def words(text: Column) -> Column:
@@ -50,9 +52,11 @@ def shingle_strings(own: str, shingle: int = SHINGLE) -> Column:
     return F.array_distinct(_windows(own, lambda i: F.array_join(F.slice(F.col(own), i, shingle), " "), shingle))
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame, to be broadcast if it is known to be small."""
-    return F.broadcast(df) if df.count() <= most else df
+def small(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame, to be broadcast if its rows and the bytes of its strings are few."""
+    wide = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"), F.lit(0))
+    rows, size = df.agg(F.count("*"), F.sum(wide)).head()
+    return F.broadcast(df) if rows <= most and (size or 0) <= most_bytes else df
 
 
 def sketches(items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
