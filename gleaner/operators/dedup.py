@@ -17,6 +17,7 @@ from gleaner.scratch import Scratch
 LONG, SPAM_AUTHORS = 12, 5
 SHINGLE, JACCARD = 5, 0.85
 MIN_DF, MAX_DF, PREFIX_WORDS, MAX_PREFIX = 2, 40, 6, 80
+NEIGHBOURS, CHUNK = 8, 4096
 
 
 def folded(text: Column) -> Column:
@@ -77,10 +78,31 @@ def spam_texts(items: DataFrame, authors: int = SPAM_AUTHORS) -> DataFrame:
     return items.where("folded != ''").groupBy("folded").agg(F.countDistinct(who).alias("n_authors")).where(F.col("n_authors") >= authors)
 
 
+def sort_neighbours(items: DataFrame, scratch: Scratch, text: str, key: str = "item_id", reach: int = NEIGHBOURS, chunk: int = CHUNK) -> DataFrame:
+    """``a, b``: every row with each of the ``reach`` rows after it in the order of
+    text and key (nulls first; rows without key are left out).
+
+    No task sorts the whole table: ranges are sorted apart and counted, which
+    gives every row its place; chunks of places, each with the first rows of the
+    next one, then see all neighbours of their own rows."""
+    rows = items.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("t"))
+    ranges = scratch.write(rows.repartitionByRange("t", "id").withColumn("part", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("part").agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    counts = counts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inner = F.row_number().over(Window.partitionBy("part").orderBy("t", "id"))
+    placed = scratch.write(ranges.withColumn("at", inner).join(F.broadcast(counts), "part").select("id", (F.col("before") + F.col("at")).alias("at")), "places")
+    own = F.expr(f"at div {chunk}")
+    seen = F.when(F.col("at") % chunk < reach, F.array(own, own - 1)).otherwise(F.array(own))
+    ahead = F.collect_list("id").over(Window.partitionBy("c").orderBy("at").rowsBetween(1, reach))
+    near = placed.select("id", "at", F.explode(seen).alias("c")).withColumn("ahead", ahead).where(own == F.col("c"))
+    return near.select(F.col("id").alias("a"), F.explode("ahead").alias("b"))
+
+
 def near_pairs(items: DataFrame, scratch: Scratch, threshold: float = JACCARD, max_df: int = MAX_DF) -> DataFrame:
     """``a, b, similarity`` of long items (item_id, words) that share a shingle of
-    medium document frequency, or their first words: blocked equi-joins, verified
-    by exact Jaccard. The limits on block sizes belong to the definition of a
+    medium document frequency, or their first words, or are near in the order of
+    their texts: blocked equi-joins, verified by exact Jaccard. The limits on block sizes belong to the definition of a
     candidate: what only a very common shingle or opening joins is not one."""
     read = scratch.write(items.select("item_id", "words"), "words")  # written, so that no lambda splits the text again for each shingle
     own = read.select("item_id", shingles(F.col("words")).alias("sh"), F.array_join(F.slice("words", 1, PREFIX_WORDS), " ").alias("prefix"))
@@ -90,7 +112,9 @@ def near_pairs(items: DataFrame, scratch: Scratch, threshold: float = JACCARD, m
     keyed = by_shingle.union(by_prefix)
     fit = keyed.groupBy("key").agg(F.count("*").alias("df"), F.max("limit").alias("limit")).where((F.col("df") >= MIN_DF) & (F.col("df") <= F.col("limit"))).select("key")
     met = keyed.join(fit, "key").select("key", "item_id")
-    pairs = met.alias("x").join(met.alias("y"), F.expr("x.key = y.key and x.item_id < y.item_id")).select(F.col("x.item_id").alias("a"), F.col("y.item_id").alias("b")).distinct()
+    pairs = met.alias("x").join(met.alias("y"), F.expr("x.key = y.key and x.item_id < y.item_id")).select(F.col("x.item_id").alias("a"), F.col("y.item_id").alias("b"))
+    beside = sort_neighbours(read.select("item_id", F.array_join("words", " ").alias("folded")), scratch, "folded")
+    pairs = pairs.union(beside.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
     left, right = own.select(F.col("item_id").alias("a"), F.col("sh").alias("sa")), own.select(F.col("item_id").alias("b"), F.col("sh").alias("sb"))
     return pairs.join(left, "a").join(right, "b").withColumn("similarity", jaccard(F.col("sa"), F.col("sb"))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
 

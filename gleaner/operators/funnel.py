@@ -59,3 +59,12 @@ def tidy_list(values: Column, most: int | None = None) -> Column:
     """Blanks and repeats dropped, order kept."""
     out = F.array_distinct(F.filter(F.transform(values, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != "")))
     return F.slice(out, 1, most) if most else out
+
+
+def round_robin(items: DataFrame, by: str, size: int, seed: str = "review", key: str = "item_id") -> DataFrame:
+    """``size`` rows spread over the values of ``by``: the first of each value in a
+    hashed order, then the second of each. Ranks beyond size are cut before the
+    shuffle (a limit on the rank within a group), so a hot value costs no more."""
+    order = Window.partitionBy(by).orderBy(F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string"))), key)
+    ranked = items.withColumn("_turn", F.row_number().over(order)).where(F.col("_turn") <= size)
+    return ranked.orderBy("_turn", F.col(by).asc_nulls_last(), key).limit(size).drop("_turn")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.operators import funnel as f
 from gleaner.plans.registry import query
 from gleaner.session import table
+from gleaner.sources import sheets
 
 _B = r"(^|[^\p{L}\p{Mn}\p{Nd}\p{Pc}])(%s)($|[^\p{L}\p{Mn}\p{Nd}\p{Pc}])"
 _INTENT, _FEATURE = ["idiot", "worthless"], ["the", "der", "les"]
@@ -60,3 +61,20 @@ def known_pages(spark, sf_dir):
     """Pages that an incremental crawl still has to fetch."""
     known = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("page_id"))
     return table(spark, sf_dir, "pages").join(known, "page_id", "left_anti").select("page_id")
+
+
+@query("review_sample", "WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('review:' || doc_id), doc_id) AS turn FROM documents) SELECT doc_id, source FROM r ORDER BY turn, source NULLS LAST, doc_id LIMIT 50")
+def review_sample(spark, sf_dir):
+    return f.round_robin(table(spark, sf_dir, "documents"), "source", 50, key="doc_id").select("doc_id", "source")
+
+
+@query("sheet_mapping", r"""WITH k AS (SELECT doc_id, 'tab0:' || CASE WHEN doc_id % 3 = 0 THEN 'n' || (doc_id % 10) ELSE left(sha256(trim(coalesce(text, ''), ' ') || '|' || trim(coalesce(lang, ''), ' ')), 20) END AS k,
+  CASE WHEN lang IN ('en', 'de') THEN 'west' WHEN starts_with(lower(lang), 'f') THEN 'forum' ELSE 'other' END AS platform, coalesce(lang NOT IN ('en', 'de') AND NOT starts_with(lower(lang), 'f'), false) AS is_unknown FROM documents)
+SELECT doc_id, CASE WHEN doc_id = min(doc_id) OVER (PARTITION BY k) THEN k ELSE k || '~' || doc_id END AS raw_id, platform, is_unknown FROM k""")
+def sheet_mapping(spark, sf_dir):
+    """Documents as the rows of a tab: one in three has an id of its own, few of them distinct."""
+    docs = table(spark, sf_dir, "documents")
+    native = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("n"), F.col("doc_id") % 10))
+    place, unknown = sheets.platform(F.col("lang"), {"en": "west", "de": "west"}, {"f": "forum"}, "other")
+    keyed = sheets.row_keys(docs, F.lit("tab0"), native, [F.col("text"), F.col("lang")], "doc_id")
+    return keyed.select("doc_id", "raw_id", place.alias("platform"), unknown.alias("is_unknown"))

@@ -162,7 +162,9 @@ sh AS (SELECT DISTINCT item_id, array_to_string(w[i:i+4], ' ') AS s FROM sx),
 sn AS (SELECT item_id, count(*) AS n FROM sh GROUP BY 1),
 kk AS (SELECT item_id, s AS k, 40 AS lim FROM sh UNION ALL SELECT item_id, '^' || array_to_string(w[1:6], ' '), 80 FROM lg),
 ok AS (SELECT k FROM kk GROUP BY k HAVING count(*) BETWEEN 2 AND max(lim)),
-cand AS (SELECT DISTINCT a.item_id AS a, b.item_id AS b FROM kk a JOIN ok ON a.k = ok.k JOIN kk b ON b.k = a.k AND a.item_id < b.item_id),
+rk AS (SELECT item_id, row_number() OVER (ORDER BY array_to_string(w, ' '), item_id) AS pos FROM lg),
+cand AS (SELECT a.item_id AS a, b.item_id AS b FROM kk a JOIN ok ON a.k = ok.k JOIN kk b ON b.k = a.k AND a.item_id < b.item_id
+  UNION SELECT least(x.item_id, y.item_id), greatest(x.item_id, y.item_id) FROM rk x JOIN rk y ON y.pos BETWEEN x.pos + 1 AND x.pos + 8),
 both_ AS (SELECT c.a, c.b, count(*) AS n FROM cand c JOIN sh x ON x.item_id = c.a JOIN sh y ON y.item_id = c.b AND x.s = y.s GROUP BY 1, 2),
 prs AS (SELECT a, b, both_.n / (p.n + q.n - both_.n) AS similarity FROM both_ JOIN sn p ON p.item_id = a JOIN sn q ON q.item_id = b WHERE both_.n / (p.n + q.n - both_.n) >= 0.85)"""
 
@@ -176,6 +178,11 @@ def shingle_jaccard_pairs(spark, sf_dir):
     return d.near_pairs(_long(spark, sf_dir), Scratch(spark, "pairs")).select("a", "b", F.round("similarity", 9).alias("similarity"))
 
 
+@query("sort_neighbours", f"WITH {_ITEMS}, rk AS (SELECT item_id, row_number() OVER (ORDER BY folded, item_id) AS pos FROM it) SELECT x.item_id AS a, y.item_id AS b FROM rk x JOIN rk y ON y.pos BETWEEN x.pos + 1 AND x.pos + 8")
+def sort_neighbours(spark, sf_dir):
+    return d.sort_neighbours(items(spark, sf_dir), Scratch(spark, "neighbours"), "folded")
+
+
 @query("near_dup_star_merge")
 def near_dup_star_merge(spark, sf_dir):
     """Greedy star merge in canonical order (no SQL twin: it is sequential)."""
