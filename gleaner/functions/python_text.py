@@ -75,6 +75,24 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - s.bit_count()) / (len(a) + len(b))
 
 
+def token_set_ratio(a: str, b: str) -> float:
+    """Likeness of two texts as sets of words, 0 to 100: what they share counts in
+    full, the rest by its indel distance; 100 where one set holds the other."""
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    shared, left, right = x & y, " ".join(sorted(x - y)), " ".join(sorted(y - x))
+    if shared and not (left and right):
+        return 100.0
+    n, gap = len(" ".join(shared)), bool(shared)
+    whole = 2 * (n + gap) + len(left) + len(right)
+    apart = (len(left) + len(right)) * (1 - indel_ratio(left, right) / 100)
+    found = [1 - apart / whole]
+    if shared:
+        found += [1 - (gap + len(rest)) / (2 * n + gap + len(rest)) for rest in (left, right)]
+    return 100 * max(found)
+
+
 def ground_quote(quote: str | None, text: str | None, threshold: float = 95.0, least: int = 20) -> str | None:
     """The span of the text that a quote stands for: literally, or but for case,
     spaces and quotation marks, or almost (from ``least`` characters on)."""

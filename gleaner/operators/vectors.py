@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+EXEMPLARS = 1000
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -43,9 +45,16 @@ def nearest_prior(new: DataFrame, prior: DataFrame, threshold: float) -> DataFra
 
 def margins(vectors: DataFrame, positive: DataFrame, negative: DataFrame) -> DataFrame:
     """``id, margin``: greatest cosine with the positive exemplars less that with the
-    negative ones. Exemplars are a bounded list and go along as one matrix."""
-    pos = np.array([r["vector"] for r in positive.limit(1000).collect()], np.float64)
-    neg = np.array([r["vector"] for r in negative.limit(1000).collect()], np.float64)
+    negative ones. Exemplars are a list of at most EXEMPLARS and go along as one
+    matrix; more are refused, none are left out."""
+
+    def matrix(side: DataFrame) -> np.ndarray:
+        rows = side.select("vector").limit(EXEMPLARS + 1).collect()
+        if not 0 < len(rows) <= EXEMPLARS:
+            raise ValueError(f"1 to {EXEMPLARS} exemplars of each kind are needed")
+        return np.array([r["vector"] for r in rows], np.float64)
+
+    pos, neg = matrix(positive), matrix(negative)
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
     pos, neg = unit(pos), unit(neg)
 
@@ -57,6 +66,21 @@ def margins(vectors: DataFrame, positive: DataFrame, negative: DataFrame) -> Dat
     return vectors.select("id", margin("vector").alias("margin"))
 
 
+def reduced(vectors: DataFrame, dimensions: int, vector: str = "vector") -> DataFrame:
+    """vectors with ``reduced``, their principal components: the covariance of the
+    dimensions is aggregated by the executors, rows are projected in place. All
+    vectors have one length; null ones stay out of the fit and give null."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    have = vectors.where(F.col(vector).isNotNull()).withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
+    if not have.head(1):
+        return vectors.withColumn("reduced", F.lit(None).cast("array<double>"))
+    model = PCA(k=dimensions, inputCol="_v", outputCol="_r").fit(have)
+    out = model.transform(have).withColumn("reduced", vector_to_array("_r")).drop("_v", "_r")
+    return out.unionByName(vectors.where(F.col(vector).isNull()).withColumn("reduced", F.lit(None).cast("array<double>")))
+
+
 def density_labels(points: np.ndarray, least_size: int = 10, least_samples: int = 3) -> np.ndarray:
     """Density clusters by mutual reachability: the minimum spanning tree is cut at
     its most persistent level; noise is -1. For the bounded insight set."""

@@ -12,6 +12,7 @@ from gleaner.operators import tables as t
 from gleaner.operators import vectors as v
 from gleaner.plans.domain import EV, evidence
 from gleaner.plans.registry import query
+from gleaner.scratch import Scratch
 from gleaner.session import table
 from gleaner.sources import pages as html
 from gleaner.streaming import counts
@@ -195,3 +196,20 @@ def thread_rollup(spark, sf_dir):
 def stream_daily_counts(spark, sf_dir):
     """The stream over the events file, run to its end; equals the batch."""
     return counts.daily_counts_once(spark, sf_dir)
+
+
+@query("representative_quotes")
+def representative_quotes(spark, sf_dir):
+    """Turns as quotes of their role's area (no SQL twin: a choice depends on those before it)."""
+    own = table(spark, sf_dir, "conversations").select(
+        F.col("role").alias("area_id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"), (F.col("conv_id") % 5).alias("source"), F.col("text").alias("quote"),
+        (1 + F.col("turn") % 5).alias("strength"), F.length("text").cast("double").alias("similarity"),
+    )
+    return a.representative_quotes(own, Scratch(spark, "quotes"))
+
+
+@query("reduced_vectors")
+def reduced_vectors(spark, sf_dir):
+    """No SQL twin: eigenvectors."""
+    own = v.reduced(table(spark, sf_dir, "embeddings"), 10, "embedding")
+    return own.select("vec_id", F.posexplode("reduced").alias("i", "x"))
