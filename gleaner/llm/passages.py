@@ -4,16 +4,17 @@ Paragraphs are of two kinds. Lines of ``min_line`` words or more get MinHash
 signatures of their word shingles, with bands tuned for recall at the threshold;
 lines that collide in a band are verified by the exact Jaccard similarity of
 their shingle sets, and linked lines form components. A passage that was copied
-into the middle of other text never fills a line, so lines are also cut at
-content-defined points (words whose hash is the least of its neighbourhood),
-which fall alike in every copy; a piece is so short that Jaccard of the
-threshold or more means equality but for a word at its edge, so its signature is
-one band of all its words and its component all equal pieces.
-
-Of each component the copies in the document with the least id stay, and those
-in other documents go. What goes in a document is merged into spans; a span is
-removed if it has ``min_line`` words or more, or ``min_run`` in the midst of a
-line. Shorter whole lines that many documents share (licences, greetings) stay.
+into other text, or that is broken into short lines, fills no such line, so the
+words of a text are also taken without regard to line ends: of every ANCHOR
+consecutive runs of ANCHOR words the one with the least hash is an anchor. Every
+run of 2 * ANCHOR - 1 words that two documents share has an anchor in both, and
+the anchors of a longer one leave no gap.
+
+Of each component, and of equal anchors, the copies in the document with the
+least id stay, and those in other documents go. What goes in a document is merged
+into spans, over line ends too; a span is removed if it has ``min_line`` words or
+more, or ``min_run`` in the midst of a line. Shorter whole lines that many
+documents share (licences, greetings) stay.
 
 Counts, joins and components are distributed; only colliding lines have their
 texts brought together, in bounded groups (see links). Whole texts are read.
@@ -41,8 +42,8 @@ from gleaner.scratch import Scratch
 
 MIN_LINE, MIN_RUN = 25, 12
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.99
-#: Words on either side of a cut that its hash must be less than.
-REACH = 5
+#: Words of an anchor, and of the positions of which one is an anchor.
+ANCHOR = 10
 BLOCK = 256
 NO_ID = (1 << 63) - 1
 
@@ -88,16 +89,12 @@ def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return (own ^ (own >> _U(29))).view(np.int64)
 
 
-def cut_points(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Positions whose word pair hashes below all within reach (ties: the first)."""
-    if len(hashes) < 2 * reach + 2:
+def anchor_points(grams: np.ndarray, window: int) -> np.ndarray:
+    """Positions of the least hash in every ``window`` consecutive ones (ties: the first)."""
+    if not len(grams):
         return np.empty(0, np.int64)
-    pair = hashes[:-1] * _U(_STEP) + hashes[1:]
-    pair ^= pair >> _U(32)
-    seen = np.lib.stride_tricks.sliding_window_view(pair, 2 * reach + 1)
-    middle = seen[:, reach]
-    least = (middle < seen[:, :reach].min(axis=1)) & (middle <= seen[:, reach + 1 :].min(axis=1))
-    return np.flatnonzero(least) + reach
+    seen = np.lib.stride_tricks.sliding_window_view(grams, min(window, len(grams)))
+    return np.unique(seen.argmin(axis=1) + np.arange(len(seen)))
 
 
 def line_bounds(text: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -111,15 +108,14 @@ def line_bounds(text: bytes) -> tuple[list[bytes], np.ndarray]:
     return words, np.array(starts, np.int64)
 
 
-def pieces(text: bytes | None, reach: int = REACH) -> tuple[np.ndarray, ...]:
-    """Hash, first word, number of words, and whether it starts or ends a line, of each piece."""
+def anchors(text: bytes | None, size: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """Hash, first word, and whether it starts or ends on a line end, of each anchor."""
     words, lines = line_bounds(text or b"")
     hashes = word_hashes(words)
-    marks = np.unique(np.concatenate((lines, cut_points(hashes, reach))))
-    starts, ends = marks[:-1], marks[1:]
-    fit = ends - starts > reach
-    starts, ends = starts[fit], ends[fit]
-    return run_hashes(hashes, starts, ends), starts, ends - starts, np.isin(starts, lines), np.isin(ends, lines)
+    at = np.arange(max(0, len(words) - size + 1))
+    grams = run_hashes(hashes, at, at + size)
+    starts = anchor_points(grams, size)
+    return grams[starts], starts, np.isin(starts, lines), np.isin(starts + size, lines)
 
 
 def signer(bands: int, rows: int, seed: int = 5):
@@ -170,20 +166,20 @@ def long_lines(docs: DataFrame, min_line: int = MIN_LINE, threshold: float = THR
     return _keyed(docs).mapInArrow(run, "uid long, d long, rk long, s long, n long, bands array<long>, line binary")
 
 
-def all_pieces(docs: DataFrame, places: bool, reach: int = REACH) -> DataFrame:
-    """``uid, d`` of all pieces, with places ``rk, s, n, first, last`` too."""
-    schema = "uid long, d long" + ", rk long, s long, n long, first boolean, last boolean" * places
+def all_anchors(docs: DataFrame, places: bool, size: int = ANCHOR) -> DataFrame:
+    """``uid, d`` of all anchors, with places ``rk, s, first, last`` too."""
+    schema = "uid long, d long" + ", rk long, s long, first boolean, last boolean" * places
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [pieces(t.as_py(), reach) for t in batch.column(2)]
+            found = [anchors(t.as_py(), size) for t in batch.column(2)]
             sizes = np.array([len(x[0]) for x in found], np.int64)
             if not sizes.sum():
                 continue
             repeat = lambda i: np.repeat(batch.column(i).to_numpy(), sizes)  # noqa: B023, E731
             columns = [np.concatenate([x[0] for x in found]), repeat(0)]
             if places:
-                columns += [repeat(1), *(np.concatenate([x[i] for x in found]) for i in range(1, 5))]
+                columns += [repeat(1), *(np.concatenate([x[i] for x in found]) for i in range(1, 4))]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in schema.split(", ")])
 
     return _keyed(docs).mapInArrow(run, schema)
@@ -253,12 +249,12 @@ def repeated_spans(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN
     gone_lines = lines.select("uid", "d", "rk", "s", "n").join(classes, "uid").where("d > owner")
     gone_lines = gone_lines.select("d", "rk", "s", "n", "owner", "cluster", F.lit(True).alias("line"), F.lit(True).alias("first"), F.lit(True).alias("last"))
 
-    owned = all_pieces(docs, places=False).groupBy("uid").agg(F.min("d").alias("owner"), F.max("d").alias("high")).where("owner < high").drop("high")
-    owned = scratch.write(owned, "piece-classes")
-    gone_pieces = all_pieces(docs, places=True).join(owned, "uid").where("d > owner")
-    gone_pieces = gone_pieces.select("d", "rk", "s", "n", "owner", F.col("uid").alias("cluster"), F.lit(False).alias("line"), "first", "last")
+    owned = all_anchors(docs, places=False).groupBy("uid").agg(F.min("d").alias("owner"), F.max("d").alias("high")).where("owner < high").drop("high")
+    owned = scratch.write(owned, "anchor-classes")
+    gone_anchors = all_anchors(docs, places=True).join(owned, "uid").where("d > owner")
+    gone_anchors = gone_anchors.select("d", "rk", "s", F.lit(ANCHOR).cast("long").alias("n"), "owner", F.col("uid").alias("cluster"), F.lit(False).alias("line"), "first", "last")
 
-    parts = scratch.write(gone_lines.unionByName(gone_pieces), "parts")
+    parts = scratch.write(gone_lines.unionByName(gone_anchors), "parts")
     scratch.drop(lines, member, owners, lowest, classes, owned)
     parts = parts.withColumn("e", F.col("s") + F.col("n"))
     order = Window.partitionBy("d", "rk").orderBy("s", "e", "cluster")

@@ -116,6 +116,21 @@ def test_passages_are_found_wherever_they_stand(spark):
     assert all(left[i] == t for i, t in enumerate(texts) if i not in (9, 17, 25)) and "changed" not in left[25] and left[25].endswith("short shared line of text")
 
 
+def test_passages_of_short_lines_are_found(spark):
+    rng = random.Random(8)
+    texts, planted = [], {}
+    for i, (width, n) in enumerate(itertools.product((1, 5, 8, 12), (60, 120))):
+        words = _prose(rng, n).split()
+        passage = "\n".join(" ".join(words[k : k + width]) for k in range(0, n, width))
+        texts += ["\n".join((_prose(rng, 80), passage, _prose(rng, 80))) for _ in range(2)]
+        planted[2 * i + 1] = n
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in passages.repeated_spans(docs).collect()}
+    assert set(got) == set(planted)
+    # at most 9 words on either side have no anchor
+    assert all(got[d]["first_doc"] == d - 1 and got[d]["n_words"] >= n - 18 and got[d]["start"] >= 80 for d, n in planted.items())
+
+
 def test_band_tuning_and_jaccard_edges():
     bands, rows = passages.tune(0.8, 0.99)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99
