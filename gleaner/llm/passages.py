@@ -8,7 +8,9 @@ into other text, or that is broken into short lines, fills no such line, so the
 words of a text are also taken without regard to line ends: of every ANCHOR
 consecutive runs of ANCHOR words the one with the least hash is an anchor. Every
 run of 2 * ANCHOR - 1 words that two documents share has an anchor in both, and
-the anchors of a longer one leave no gap.
+the anchors of a longer one leave no gap. Runs of anchors are extended word by
+word in both texts, over edits, as far as the Jaccard similarity of the aligned
+spans (shingles in aligned equal blocks) stays at the threshold or above.
 
 Of each component, and of equal anchors, the copies in the document with the
 least id stay, and those in other documents go. What goes in a document is merged
@@ -44,6 +46,9 @@ MIN_LINE, MIN_RUN = 25, 12
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.99
 #: Words of an anchor, and of the positions of which one is an anchor.
 ANCHOR = 10
+#: Of an extension: words of one text between equal blocks, least words of a block
+#: behind such a gap, and words of the other text that are brought along on either side.
+GAP, MEET, FAR = 16, 3, 64
 BLOCK = 256
 NO_ID = (1 << 63) - 1
 
@@ -109,13 +114,12 @@ def line_bounds(text: bytes) -> tuple[list[bytes], np.ndarray]:
 
 
 def anchors(text: bytes | None, size: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Hash, first word, and whether it starts or ends on a line end, of each anchor."""
-    words, lines = line_bounds(text or b"")
-    hashes = word_hashes(words)
-    at = np.arange(max(0, len(words) - size + 1))
+    """Hash and first word of each anchor."""
+    hashes = word_hashes(line_bounds(text or b"")[0])
+    at = np.arange(max(0, len(hashes) - size + 1))
     grams = run_hashes(hashes, at, at + size)
     starts = anchor_points(grams, size)
-    return grams[starts], starts, np.isin(starts, lines), np.isin(starts + size, lines)
+    return grams[starts], starts
 
 
 def signer(bands: int, rows: int, seed: int = 5):
@@ -166,9 +170,73 @@ def long_lines(docs: DataFrame, min_line: int = MIN_LINE, threshold: float = THR
     return _keyed(docs).mapInArrow(run, "uid long, d long, rk long, s long, n long, bands array<long>, line binary")
 
 
+def aligned(one: list[int], other: list[int]) -> list[tuple[int, int, int]]:
+    """Equal blocks of two texts from their first words on, each with the words of
+    either text before it: the first may be empty, further ones have MEET words."""
+    blocks, i, j, gap = [], 0, 0, (0, 0)
+    while gap is not None:
+        i, j, n = i + gap[0], j + gap[1], 0
+        for x, y in zip(one[i:], other[j:], strict=False):
+            if x != y:
+                break
+            n += 1
+        blocks.append((*gap, n))
+        i, j, gap, ahead = i + n, j + n, None, {}
+        for y in range(j, min(j + GAP, len(other) - MEET) + 1):
+            ahead.setdefault(tuple(other[y : y + MEET]), y - j)
+        for x in range(i, min(i + GAP, len(one) - MEET) + 1):
+            y = ahead.get(tuple(one[x : x + MEET]))
+            if y is not None and (gap is None or x - i + y < sum(gap)):
+                gap = (x - i, y)
+    return blocks
+
+
+def like(shared: int, one: int, other: int, threshold: float, shingle: int) -> bool:
+    """Whether spans of so many words with so many aligned shingles are similar enough."""
+    both = one + other - 2 * (shingle - 1) - shared
+    return shared >= threshold * both
+
+
+def widest(n: int, before: list[tuple[int, int, int]], after: list[tuple[int, int, int]], threshold: float, shingle: int) -> tuple[int, int, int, int, int]:
+    """Words that a run of n equal words gains before and after it, in either text,
+    as far as the whole stays similar enough, and its aligned shingles."""
+
+    def sums(blocks: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        out = [(blocks[0][2], blocks[0][2], 0)]
+        for x, y, k in blocks[1:]:
+            a, b, shared = out[-1]
+            out.append((a + x + k, b + y + k, shared + max(0, k - shingle + 1)))
+        return out
+
+    core, best = n + before[0][2] + after[0][2] - shingle + 1, None
+    for la, lb, ls in sums(before):
+        for ra, rb, rs in sums(after):
+            shared = core + ls + rs
+            if like(shared, n + la + ra, n + lb + rb, threshold, shingle) and (best is None or la + ra > best[0] + best[1]):
+                best = (la, ra, lb, rb, shared)
+    return best
+
+
+def bridged(spans: list[list], threshold: float, shingle: int) -> list[list]:
+    """Spans (other text, s, e, s and e there, aligned shingles, owner, cluster,
+    parts), those joined that are similar enough with what lies between them."""
+    out: list[list] = []
+    for x in sorted(spans):
+        last = out[-1] if out else None
+        if last and last[0] == x[0] and x[1] >= last[2] and x[3] >= last[4] and like(last[5] + x[5], x[2] - last[1], x[4] - last[3], threshold, shingle):
+            new = x[5]
+        elif last and last[0] == x[0] and x[1] < last[2] and x[3] < last[4] and x[2] - last[2] == x[4] - last[4] >= 0:
+            new = x[2] - last[2]
+        else:
+            out.append(list(x))
+            continue
+        last[2], last[4], last[5], last[7], last[8] = x[2], x[4], last[5] + new, min(last[7], x[7]), last[8] + x[8]
+    return out
+
+
 def all_anchors(docs: DataFrame, places: bool, size: int = ANCHOR) -> DataFrame:
-    """``uid, d`` of all anchors, with places ``rk, s, first, last`` too."""
-    schema = "uid long, d long" + ", rk long, s long, first boolean, last boolean" * places
+    """``uid, d`` of all anchors, with places ``rk, s`` too."""
+    schema = "uid long, d long" + ", rk long, s long" * places
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,12 +247,84 @@ def all_anchors(docs: DataFrame, places: bool, size: int = ANCHOR) -> DataFrame:
             repeat = lambda i: np.repeat(batch.column(i).to_numpy(), sizes)  # noqa: B023, E731
             columns = [np.concatenate([x[0] for x in found]), repeat(0)]
             if places:
-                columns += [repeat(1), *(np.concatenate([x[i] for x in found]) for i in range(1, 4))]
+                columns += [repeat(1), np.concatenate([x[1] for x in found])]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in schema.split(", ")])
 
     return _keyed(docs).mapInArrow(run, schema)
 
 
+def _short(words: list[bytes]) -> np.ndarray:
+    return (word_hashes(words) >> _U(32)).astype(np.uint32)
+
+
+def anchor_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``d, rk, s, e, owner, ork, os, oe, cluster, n_parts``: the words that anchors
+    cover without a gap in a document and in the first one that has them too."""
+    owned = all_anchors(docs, places=False).groupBy("uid").agg(F.min("d").alias("owner"), F.max("d").alias("high")).where("owner < high").drop("high")
+    owned = scratch.write(owned, "anchor-classes")
+    met = scratch.write(all_anchors(docs, places=True).join(owned, "uid"), "anchors-met", "zstd")
+    scratch.drop(owned)
+    first = met.where("d = owner").groupBy("uid").agg(F.min(F.struct("rk", "s")).alias("at"))
+    gone = met.where("d > owner").join(first, "uid").select("d", "rk", "s", "owner", "uid", F.col("at.rk").alias("ork"), (F.col("at.s") - F.col("s")).alias("shift"))
+    order = Window.partitionBy("d", "rk").orderBy("s", "uid")
+    on = (F.lag("ork").over(order) == F.col("ork")) & (F.lag("shift").over(order) == F.col("shift")) & (F.col("s") <= F.lag("s").over(order) + ANCHOR)
+    gone = gone.withColumn("new", F.when(on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = gone.groupBy("d", "rk", "run", "owner", "ork", "shift").agg(F.min("s").alias("s"), (F.max("s") + ANCHOR).alias("e"), F.min("uid").alias("cluster"), F.count("*").alias("n_parts"))
+    runs = runs.select("d", "rk", "s", "e", "owner", "ork", (F.col("s") + F.col("shift")).alias("os"), (F.col("e") + F.col("shift")).alias("oe"), "cluster", "n_parts")
+    runs = scratch.write(runs, "anchor-runs", "zstd")
+    scratch.drop(met)
+    return runs
+
+
+def copied_spans(docs: DataFrame, scratch: Scratch, threshold: float, shingle: int) -> DataFrame:
+    """``d, rk, s, n, owner, cluster, n_parts, first, last``: runs of anchors, extended
+    word by word in both texts as far as the spans are similar to the threshold.
+
+    FAR words of the other text suffice: 2 * ANCHOR - 1 equal words have an anchor,
+    so an extension that goes on longer has met another run, which is extended
+    itself (and bridged with this one), or more edits than the threshold allows."""
+    runs = anchor_runs(docs, scratch)
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for rk, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                own = _short(line_bounds(text.as_py())[0])
+                out += [(rk, w["os"], w["oe"], own[max(0, w["os"] - FAR) : w["os"]].tobytes(), own[w["oe"] : w["oe"] + FAR].tobytes()) for w in wanted]
+            if out:
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["ork", "os", "oe", "before", "after"])
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for d, rk, text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                words, lines = line_bounds(text.as_py())
+                own, lines, spans = _short(words), set(lines.tolist()), []
+                for r in runs.as_py():
+                    s, e = r["s"], r["e"]
+                    back = aligned(own[max(0, s - FAR - GAP) : s][::-1].tolist(), np.frombuffer(r["before"], np.uint32)[::-1].tolist())
+                    ahead = aligned(own[e : e + FAR + GAP].tolist(), np.frombuffer(r["after"], np.uint32).tolist())
+                    la, ra, lb, rb, shared = widest(e - s, back, ahead, threshold, shingle)
+                    spans.append([r["ork"], s - la, e + ra, r["os"] - lb, r["oe"] + rb, shared, r["owner"], r["cluster"], r["n_parts"]])
+                out += [(d, rk, s, e - s, owner, cluster, n, s in lines, e in lines) for _, s, e, _, _, _, owner, cluster, n in bridged(spans, threshold, shingle)]
+            if out:
+                types = [pa.int64()] * 7 + [pa.bool_()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["d", "rk", "s", "n", "owner", "cluster", "n_parts", "first", "last"])
+
+    texts = _keyed(docs)
+    wanted = runs.select("ork", "os", "oe").distinct().groupBy("ork").agg(F.collect_list(F.struct("os", "oe")).alias("wanted"))
+    near = texts.join(wanted.hint("shuffle_hash"), F.col("rk") == F.col("ork")).select("rk", "text", "wanted")
+    near = near.mapInArrow(around, "ork long, os long, oe long, before binary, after binary").dropDuplicates(["ork", "os", "oe"])
+    near = scratch.write(runs.join(near, ["ork", "os", "oe"]), "runs-around", "zstd")
+    lists = near.groupBy("rk").agg(F.collect_list(F.struct("s", "e", "ork", "os", "oe", "owner", "cluster", "n_parts", "before", "after")).alias("runs"))
+    met = texts.join(lists.hint("shuffle_hash"), "rk").select("d", "rk", "text", "runs")
+    spans = met.mapInArrow(extend, "d long, rk long, s long, n long, owner long, cluster long, n_parts long, first boolean, last boolean")
+    spans = scratch.write(spans, "copied-spans")
+    scratch.drop(runs, near)
+    return spans
+
+
 def jaccard_edges(bounds: np.ndarray, table: pa.Table, threshold: float, shingle: int) -> tuple[list[int], list[int]]:
     """Spanning forests of the lines in each group that are similar enough."""
     left, right = [], []
@@ -247,21 +387,17 @@ def repeated_spans(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN
     equal = owners.where("low < high").join(member, owners.uid == member.node, "left_anti").select("uid", F.col("low").alias("owner"), F.col("uid").alias("cluster"))
     classes = scratch.write(linked.union(equal), "line-classes")
     gone_lines = lines.select("uid", "d", "rk", "s", "n").join(classes, "uid").where("d > owner")
-    gone_lines = gone_lines.select("d", "rk", "s", "n", "owner", "cluster", F.lit(True).alias("line"), F.lit(True).alias("first"), F.lit(True).alias("last"))
-
-    owned = all_anchors(docs, places=False).groupBy("uid").agg(F.min("d").alias("owner"), F.max("d").alias("high")).where("owner < high").drop("high")
-    owned = scratch.write(owned, "anchor-classes")
-    gone_anchors = all_anchors(docs, places=True).join(owned, "uid").where("d > owner")
-    gone_anchors = gone_anchors.select("d", "rk", "s", F.lit(ANCHOR).cast("long").alias("n"), "owner", F.col("uid").alias("cluster"), F.lit(False).alias("line"), "first", "last")
+    gone_lines = gone_lines.select("d", "rk", "s", "n", "owner", "cluster", F.lit(1).cast("long").alias("n_parts"), F.lit(True).alias("first"), F.lit(True).alias("last"))
 
-    parts = scratch.write(gone_lines.unionByName(gone_anchors), "parts")
-    scratch.drop(lines, member, owners, lowest, classes, owned)
+    copied = copied_spans(docs, scratch, threshold, shingle)
+    parts = scratch.write(gone_lines.unionByName(copied), "parts")
+    scratch.drop(lines, member, owners, lowest, classes, copied)
     parts = parts.withColumn("e", F.col("s") + F.col("n"))
     order = Window.partitionBy("d", "rk").orderBy("s", "e", "cluster")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.withColumn("new", (reach.isNull() | (F.col("s") > reach)).cast("int")).withColumn("span", F.sum("new").over(order))
     spans = parts.groupBy("d", "rk", "span").agg(
-        F.min("s").alias("start"), F.max("e").alias("end"), F.min("owner").alias("first_doc"), F.min("cluster").alias("cluster"), F.count("*").alias("n_parts"),
+        F.min("s").alias("start"), F.max("e").alias("end"), F.min("owner").alias("first_doc"), F.min("cluster").alias("cluster"), F.sum("n_parts").alias("n_parts"),
         F.min_by("first", "s").alias("first"), F.max_by("last", "e").alias("last"),
     )
     spans = spans.withColumn("n_words", F.col("end") - F.col("start"))

@@ -131,6 +131,29 @@ def test_passages_of_short_lines_are_found(spark):
     assert all(got[d]["first_doc"] == d - 1 and got[d]["n_words"] >= n - 18 and got[d]["start"] >= 80 for d, n in planted.items())
 
 
+def test_near_passages_go_whole(spark):
+    rng = random.Random(9)
+    texts, planted = [], {}
+    for i, (n, at) in enumerate([(51, (25,)), (51, (5,)), (60, (40,)), (60, ()), (200, (60, 120)), (1, ())] * 2):
+        passage = _prose(rng, n).split()
+        near = ["edited" if k in at else w for k, w in enumerate(passage)]
+        if n == 200:  # a sentence of its own in the midst
+            near[90:91] = [f"inserted{k}" for k in range(8)]
+        texts += [" ".join((_prose(rng, 100), " ".join(p), _prose(rng, 100))) for p in (passage, near)]
+        if n > 1:
+            planted[2 * i + 1] = len(near)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["first_doc"], r["start"], r["n_words"]) for r in passages.repeated_spans(docs).collect()}
+    assert got == {d: (d - 1, 100, n) for d, n in planted.items()}
+
+
+def test_alignment_and_its_bound():
+    one, other = list(range(40)), [*range(20), 99, *range(21, 30), *range(100, 140)]
+    assert passages.aligned(one, other) == [(0, 0, 20), (1, 1, 9)]
+    assert passages.widest(30, [(0, 0, 0)], [(0, 0, 20), (1, 1, 9)], 0.8, 5) == (0, 30, 0, 30, 51)
+    assert passages.widest(12, [(0, 0, 0)], [(0, 0, 0), (1, 1, 9)], 0.8, 5) == (0, 0, 0, 0, 8)
+
+
 def test_band_tuning_and_jaccard_edges():
     bands, rows = passages.tune(0.8, 0.99)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99
