@@ -2,8 +2,8 @@
 
 Labels of a host and parts of a path are often words run together; they are
 split by the unigram Viterbi path, with word counts gathered from the text of
-all pages (the VOCABULARY most common words are kept, a bound of the model) and
-a list of common web words. Multinomial naive Bayes then scores the words of
+all pages and a list of common web words. All words count; those that occur in
+no host or path cannot be on a path and are not brought to the driver. Multinomial naive Bayes then scores the words of
 host and path. It is trained on all pages with weak labels: a page whose host
 has a word of SEEDS counts as one to block. Words are hashed into a fixed number
 of slots, so the counts have a bounded size.
@@ -32,7 +32,8 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 SEEDS = tuple("adult ads bet bets betting bitcoin casino cheap crack escort gambling hack jackpot loan loans lottery payday pills poker porn sex slots spam torrent viagra warez xxx".split())
 #: Common words of names on the web, for the segmentation.
 WEB_WORDS = tuple("about account app article articles best blog blogs book books buy care city cloud club code com community contact data day design dev docs download edu english farm food forum forums free game games go guide health help home host hotel html index info item learn life link links list live local mail map media menu mobile money movie music net network new news office online open page pages photo play post posts press product products read review reviews school science search server service shop site sites social software sport sports store story stream support tag team tech time tips top track travel user video video view web wiki win work world".split())
-VOCABULARY = 50_000
+#: Letters of the longest word.
+LONGEST = 24
 SLOTS = 1 << 16
 #: Added to the count of every slot that was seen.
 SMOOTH = 0.1
@@ -58,8 +59,35 @@ def fitting_rule(host: Column, path: Column, rules: tuple[tuple[str, str], ...]
     return rule, verdict
 
 
-def word_scores(pages: DataFrame, most: int = VOCABULARY) -> dict[str, float]:
-    """log10 probability of the most common words, from whole texts of all pages."""
+def host_names(host: str) -> list[str]:
+    labels = host.split(".")[:-1] if "." in host else [host]  # the last label says nothing of content
+    return [p for x in labels for p in _PARTS.findall(x)]
+
+
+def path_names(path: str) -> list[str]:
+    return _PARTS.findall(path.lower())
+
+
+def substrings(parsed: DataFrame) -> DataFrame:
+    """``word``: everything in the names of hosts and paths that can be a word."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {n for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for n in (*host_names(h), *path_names(p))}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["name"])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in batch.column(0).to_pylist():
+                found = {n[i:j] for i in range(len(n)) for j in range(i + 2, min(i + LONGEST, len(n)) + 1)}
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["word"])
+
+    return parsed.select("host", "path").mapInArrow(names, "name string").distinct().mapInArrow(parts, "word string").distinct()
+
+
+def word_scores(pages: DataFrame, parsed: DataFrame, scratch: Scratch) -> tuple[dict[str, float], float]:
+    """log10 probability of the words that names can hold, counted in whole texts of
+    all pages, and the score of a word not counted, before its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,26 +95,29 @@ def word_scores(pages: DataFrame, most: int = VOCABULARY) -> dict[str, float]:
             for html in batch.column(0):
                 text = re.sub(r"<[^>]*>", " ", (html.as_py() or b"").decode("utf-8", "replace")).lower()
                 for w in _PARTS.findall(text):
-                    if 1 < len(w) <= 24:
+                    if 1 < len(w) <= LONGEST:
                         counts[w] = counts.get(w, 0) + 1
             if counts:
                 yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-    counted = pages.select(F.col("html").cast("binary")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 2")
-    rows = {r["word"]: r["n"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()}
-    floor = max(1, sum(rows.values()) // 2000)
-    for w in (*WEB_WORDS, *SEEDS):
+    counted = pages.select(F.col("html").cast("binary")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = scratch.write(counted, "words")
+    total, least = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.min("n"), F.lit(1))).head()
+    listed = sorted({*WEB_WORDS, *SEEDS})
+    rows = {r["word"]: r["n"] for r in counted.join(substrings(parsed), "word", "left_semi").union(counted.where(F.col("word").isin(listed))).collect()}
+    floor = max(1, total // 2000)
+    for w in listed:
+        total += max(0, floor - rows.get(w, 0))
         rows[w] = max(rows.get(w, 0), floor)
-    total = sum(rows.values())
-    return {w: math.log10(n / total) for w, n in rows.items()}
+    return {w: math.log10(n / total) for w, n in rows.items()}, math.log10(min(least, floor) / total) - 1
 
 
 class Segmenter:
     """Unigram Viterbi with a memory of names."""
 
-    def __init__(self, scores: dict[str, float], longest: int = 24, remember: int = 200_000):
+    def __init__(self, scores: dict[str, float], unseen: float | None = None, longest: int = LONGEST, remember: int = 200_000):
         self.scores, self.longest, self.remember, self.known = scores, longest, remember, {}
-        self.unseen = min(scores.values(), default=0.0) - 1
+        self.unseen = min(scores.values(), default=0.0) - 1 if unseen is None else unseen
 
     def __call__(self, name: str) -> list[str]:
         found = self.known.get(name)
@@ -113,8 +144,7 @@ class Segmenter:
         return out[::-1]
 
     def words(self, host: str, path: str) -> tuple[list[str], list[str]]:
-        labels = host.split(".")[:-1] if "." in host else [host]  # the last label says nothing of content
-        return [w for x in labels for p in _PARTS.findall(x) for w in self(p)], [w for p in _PARTS.findall(path.lower()) for w in self(p)]
+        return [w for n in host_names(host) for w in self(n)], [w for n in path_names(path) for w in self(n)]
 
 
 def slots(host_words: list[str], path_words: list[str]) -> list[int]:
@@ -137,11 +167,11 @@ class Bayes:
         return self.prior + float(self.logs[found].sum()) if found else self.prior
 
 
-def train(parsed: DataFrame, segment_scores: dict[str, float]) -> Bayes:
+def train(parsed: DataFrame, segment_scores: tuple[dict[str, float], float]) -> Bayes:
     seeds = frozenset(SEEDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, table, rows = Segmenter(segment_scores), np.zeros((2, SLOTS), np.int64), [0, 0]
+        segment, table, rows = Segmenter(*segment_scores), np.zeros((2, SLOTS), np.int64), [0, 0]
         for batch in batches:
             for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own, more = segment.words(host, path)
@@ -167,12 +197,12 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, scr
     scratch = scratch or Scratch(pages.sparkSession, "urls")
     host, path = split_url(F.col("url"))
     parsed = scratch.write(pages.select("page_id", host.alias("host"), path.alias("path")), "parsed")
-    scores = word_scores(pages)
+    scores = word_scores(pages, parsed, scratch)
     model = train(parsed, scores)
 
     @F.pandas_udf("struct<log_odds double, words string>")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        segment = Segmenter(scores)
+        segment = Segmenter(*scores)
         for hosts, paths in batches:
             found = [segment.words(h, p) for h, p in zip(hosts, paths, strict=True)]
             yield pd.DataFrame({"log_odds": [model.odds(slots(*x)) for x in found], "words": [" ".join([*h, "/", *p]) for h, p in found]})

@@ -252,6 +252,16 @@ def test_segmentation():
     assert urls.Segmenter(scores)("cheappills") == ["cheap", "pills"] and urls.Segmenter(scores)("thea") == ["the", "a"]
 
 
+def test_rare_words_of_hosts_are_known(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    common = ["".join(x) for x in itertools.islice(itertools.product(letters, repeat=4), 50_500)] + ["es", "alpha"]
+    html = " ".join(common * 4 + ["essex"] * 3 + ["alphabet"])
+    rows = [(1, "http://essex.example.com/", html), (2, "http://alphabet.example.com/", ""), (3, "http://alphabets.example.com/", ""), (4, "http://cheapcasino.example.com/", "")]
+    got = {r["page_id"]: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i]["words"].split()[0] for i in (1, 2, 4)] == ["essex", "alphabet", "cheap"]
+    assert [got[i]["verdict"] for i in (1, 2)] == ["allow", "allow"] and got[4]["verdict"] == "block"
+
+
 def test_archives_round_trip(spark):
     rng = random.Random(7)
     parts = ["\r\n", "\r\n\r\n", "WARC/1.1\r\n", "é", "Content-Length: 5", " ", "x" * 700]
