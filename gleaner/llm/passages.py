@@ -182,8 +182,11 @@ def aligned(one: list[int], other: list[int]) -> list[tuple[int, int, int]]:
             n += 1
         blocks.append((*gap, n))
         i, j, gap, ahead = i + n, j + n, None, {}
-        for y in range(j, min(j + GAP, len(other) - MEET) + 1):
-            ahead.setdefault(tuple(other[y : y + MEET]), y - j)
+        near = other[j : j + GAP + MEET]
+        if set(near).isdisjoint(one[i : i + GAP + MEET]):
+            break
+        for y in range(len(near) - MEET + 1):
+            ahead.setdefault(tuple(near[y : y + MEET]), y)
         for x in range(i, min(i + GAP, len(one) - MEET) + 1):
             y = ahead.get(tuple(one[x : x + MEET]))
             if y is not None and (gap is None or x - i + y < sum(gap)):
@@ -264,7 +267,8 @@ def anchor_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     owned = scratch.write(owned, "anchor-classes")
     met = scratch.write(all_anchors(docs, places=True).join(owned, "uid"), "anchors-met", "zstd")
     scratch.drop(owned)
-    first = met.where("d = owner").groupBy("uid").agg(F.min(F.struct("rk", "s")).alias("at"))
+    # written, so that the join is a stage of its own, in which a crowded anchor can be split
+    first = scratch.write(met.where("d = owner").groupBy("uid").agg(F.min(F.struct("rk", "s")).alias("at")), "anchor-places")
     gone = met.where("d > owner").join(first, "uid").select("d", "rk", "s", "owner", "uid", F.col("at.rk").alias("ork"), (F.col("at.s") - F.col("s")).alias("shift"))
     order = Window.partitionBy("d", "rk").orderBy("s", "uid")
     on = (F.lag("ork").over(order) == F.col("ork")) & (F.lag("shift").over(order) == F.col("shift")) & (F.col("s") <= F.lag("s").over(order) + ANCHOR)
@@ -272,7 +276,7 @@ def anchor_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     runs = gone.groupBy("d", "rk", "run", "owner", "ork", "shift").agg(F.min("s").alias("s"), (F.max("s") + ANCHOR).alias("e"), F.min("uid").alias("cluster"), F.count("*").alias("n_parts"))
     runs = runs.select("d", "rk", "s", "e", "owner", "ork", (F.col("s") + F.col("shift")).alias("os"), (F.col("e") + F.col("shift")).alias("oe"), "cluster", "n_parts")
     runs = scratch.write(runs, "anchor-runs", "zstd")
-    scratch.drop(met)
+    scratch.drop(met, first)
     return runs
 
 
@@ -298,15 +302,18 @@ def copied_spans(docs: DataFrame, scratch: Scratch, threshold: float, shingle: i
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for d, rk, text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            lists = batch.column(3)
+            ends = np.cumsum(lists.value_lengths().to_numpy()).tolist()
+            inner = lists.flatten()
+            every = list(zip(*(inner.field(i).to_pylist() for i in range(inner.type.num_fields)), strict=True))
+            for i, (d, rk, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True)):
                 words, lines = line_bounds(text.as_py())
-                own, lines, spans = _short(words), set(lines.tolist()), []
-                for r in runs.as_py():
-                    s, e = r["s"], r["e"]
-                    back = aligned(own[max(0, s - FAR - GAP) : s][::-1].tolist(), np.frombuffer(r["before"], np.uint32)[::-1].tolist())
-                    ahead = aligned(own[e : e + FAR + GAP].tolist(), np.frombuffer(r["after"], np.uint32).tolist())
+                own, lines, spans = _short(words).tolist(), set(lines.tolist()), []
+                for s, e, ork, os, oe, owner, own_cluster, n_parts, before, after in every[ends[i - 1] if i else 0 : ends[i]]:
+                    back = aligned(own[max(0, s - FAR - GAP) : s][::-1], np.frombuffer(before, np.uint32)[::-1].tolist())
+                    ahead = aligned(own[e : e + FAR + GAP], np.frombuffer(after, np.uint32).tolist())
                     la, ra, lb, rb, shared = widest(e - s, back, ahead, threshold, shingle)
-                    spans.append([r["ork"], s - la, e + ra, r["os"] - lb, r["oe"] + rb, shared, r["owner"], r["cluster"], r["n_parts"]])
+                    spans.append([ork, s - la, e + ra, os - lb, oe + rb, shared, owner, own_cluster, n_parts])
                 out += [(d, rk, s, e - s, owner, cluster, n, s in lines, e in lines) for _, s, e, _, _, _, owner, cluster, n in bridged(spans, threshold, shingle)]
             if out:
                 types = [pa.int64()] * 7 + [pa.bool_()] * 2
