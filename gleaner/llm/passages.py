@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,10 +86,14 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each run of words, the same wherever it stands."""
+def run_sums(hashes: np.ndarray) -> np.ndarray:
+    """Running sums of a text's word hashes, from which run_hashes takes its runs."""
     _POWERS.reach(len(hashes) + 1)
-    sums = np.concatenate(([_U(0)], np.cumsum(hashes * _POWERS.up[: len(hashes)], dtype=_U)))
+    return np.concatenate(([_U(0)], np.cumsum(hashes * _POWERS.up[: len(hashes)], dtype=_U)))
+
+
+def run_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of words, the same wherever it stands."""
     own = (sums[ends] - sums[starts]) * _POWERS.down[starts]
     own = (own ^ (own >> _U(31))) * _MIX + (ends - starts).astype(_U)
     return (own ^ (own >> _U(29))).view(np.int64)
@@ -113,15 +118,6 @@ def line_bounds(text: bytes) -> tuple[list[bytes], np.ndarray]:
     return words, np.array(starts, np.int64)
 
 
-def anchors(text: bytes | None, size: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Hash and first word of each anchor."""
-    hashes = word_hashes(line_bounds(text or b"")[0])
-    at = np.arange(max(0, len(hashes) - size + 1))
-    grams = run_hashes(hashes, at, at + size)
-    starts = anchor_points(grams, size)
-    return grams[starts], starts
-
-
 def signer(bands: int, rows: int, seed: int = 5):
     """Band keys of a line's shingle hashes."""
     rng = np.random.default_rng(seed)
@@ -144,30 +140,42 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), F.xxhash64("doc_id", "text").alias("rk"), F.col("text").cast("binary").alias("text"))
 
 
-def long_lines(docs: DataFrame, min_line: int = MIN_LINE, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
-    """``uid, d, rk, s, n, bands, line``: every line of min_line words or more."""
+def pieces(docs: DataFrame, min_line: int = MIN_LINE, threshold: float = THRESHOLD, shingle: int = SHINGLE, size: int = ANCHOR) -> DataFrame:
+    """``uid, d, rk, s, n, check, bands, line``: every line of min_line words or more,
+    and every anchor (n = 0, check = 0, without bands and line), from one reading of the texts."""
     bands, rows = tune(threshold)
+    schema = "uid long, d long, rk long, s long, n long, check long, bands array<long>, line binary"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = signer(bands, rows)
         for batch in batches:
-            out = []
+            lines_found, anchors_found, counts = [], [], []
             for d, rk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 words, lines = line_bounds(text.as_py() or b"")
-                long = np.flatnonzero(np.diff(lines) >= min_line)
-                if not len(long):
-                    continue
                 hashes = word_hashes(words)
-                starts, ends = lines[long], lines[long + 1]
-                at = np.arange(len(words) - shingle + 1)
-                grams = run_hashes(hashes, at, at + shingle).view(_U)
-                for uid, s, e in zip(run_hashes(hashes, starts, ends).tolist(), starts.tolist(), ends.tolist(), strict=True):
-                    out.append((uid, d, rk, s, e - s, sign(grams[s : e - shingle + 1]), b" ".join(words[s:e])))
-            if out:
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["uid", "d", "rk", "s", "n", "bands", "line"])
+                sums = run_sums(hashes)
+                at = np.arange(max(0, len(words) - size + 1))
+                grams = run_hashes(sums, at, at + size)
+                starts = anchor_points(grams, size)
+                anchors_found.append((grams[starts], starts))
+                counts.append(len(starts))
+                long = np.flatnonzero(np.diff(lines) >= min_line)
+                if len(long):
+                    at = np.arange(len(words) - shingle + 1)
+                    grams = run_hashes(sums, at, at + shingle).view(_U)
+                    for s, e in zip(lines[long].tolist(), lines[long + 1].tolist(), strict=True):
+                        line = b" ".join(words[s:e])
+                        lines_found.append((_signed(line, 1), d, rk, s, e - s, _signed(line, 2), sign(grams[s : e - shingle + 1]), line))
+            types = [pa.int64()] * 6 + [pa.list_(pa.int64()), pa.binary()]
+            if lines_found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*lines_found, strict=True), types, strict=True)], names=names)
+            if total := sum(counts):
+                zeros, repeat = np.zeros(total, np.int64), lambda i: np.repeat(batch.column(i).to_numpy(), counts)  # noqa: B023, E731
+                columns = [np.concatenate([x[0] for x in anchors_found]), repeat(0), repeat(1), np.concatenate([x[1] for x in anchors_found]), zeros, zeros]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(total, types[6]), pa.nulls(total, types[7])], names=names)
 
-    return _keyed(docs).mapInArrow(run, "uid long, d long, rk long, s long, n long, bands array<long>, line binary")
+    return _keyed(docs).mapInArrow(run, schema)
 
 
 def aligned(one: list[int], other: list[int]) -> list[tuple[int, int, int]]:
@@ -237,35 +245,20 @@ def bridged(spans: list[list], threshold: float, shingle: int) -> list[list]:
     return out
 
 
-def all_anchors(docs: DataFrame, places: bool, size: int = ANCHOR) -> DataFrame:
-    """``uid, d`` of all anchors, with places ``rk, s`` too."""
-    schema = "uid long, d long" + ", rk long, s long" * places
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [anchors(t.as_py(), size) for t in batch.column(2)]
-            sizes = np.array([len(x[0]) for x in found], np.int64)
-            if not sizes.sum():
-                continue
-            repeat = lambda i: np.repeat(batch.column(i).to_numpy(), sizes)  # noqa: B023, E731
-            columns = [np.concatenate([x[0] for x in found]), repeat(0)]
-            if places:
-                columns += [repeat(1), np.concatenate([x[1] for x in found])]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in schema.split(", ")])
-
-    return _keyed(docs).mapInArrow(run, schema)
+def _signed(text: bytes, seed: int) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest(text, seed), "big", signed=True)
 
 
 def _short(words: list[bytes]) -> np.ndarray:
     return (word_hashes(words) >> _U(32)).astype(np.uint32)
 
 
-def anchor_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``d, rk, s, e, owner, ork, os, oe, cluster, n_parts``: the words that anchors
-    cover without a gap in a document and in the first one that has them too."""
-    owned = all_anchors(docs, places=False).groupBy("uid").agg(F.min("d").alias("owner"), F.max("d").alias("high")).where("owner < high").drop("high")
+def anchor_runs(anchors: DataFrame, scratch: Scratch) -> DataFrame:
+    """``d, rk, s, e, owner, ork, os, oe, cluster, n_parts`` of anchors (uid, d, rk, s):
+    the words that they cover without a gap in a document and in the first one that has them too."""
+    owned = anchors.groupBy("uid").agg(F.min("d").alias("owner"), F.max("d").alias("high")).where("owner < high").drop("high")
     owned = scratch.write(owned, "anchor-classes")
-    met = scratch.write(all_anchors(docs, places=True).join(owned, "uid"), "anchors-met", "zstd")
+    met = scratch.write(anchors.join(owned, "uid"), "anchors-met", "zstd")
     scratch.drop(owned)
     # written, so that the join is a stage of its own, in which a crowded anchor can be split
     first = scratch.write(met.where("d = owner").groupBy("uid").agg(F.min(F.struct("rk", "s")).alias("at")), "anchor-places")
@@ -280,24 +273,28 @@ def anchor_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return runs
 
 
-def copied_spans(docs: DataFrame, scratch: Scratch, threshold: float, shingle: int) -> DataFrame:
-    """``d, rk, s, n, owner, cluster, n_parts, first, last``: runs of anchors, extended
-    word by word in both texts as far as the spans are similar to the threshold.
+def copied_spans(docs: DataFrame, anchors: DataFrame, scratch: Scratch, threshold: float, shingle: int) -> DataFrame:
+    """``d, rk, s, n, owner, cluster, n_parts, first, last``: runs of anchors whose words
+    are equal (by another hash of them), extended word by word in both texts as far as
+    the spans are similar to the threshold.
 
     FAR words of the other text suffice: 2 * ANCHOR - 1 equal words have an anchor,
     so an extension that goes on longer has met another run, which is extended
     itself (and bridged with this one), or more edits than the threshold allows."""
-    runs = anchor_runs(docs, scratch)
+    runs = anchor_runs(anchors, scratch)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for rk, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                own = _short(line_bounds(text.as_py())[0])
-                out += [(rk, w["os"], w["oe"], own[max(0, w["os"] - FAR) : w["os"]].tobytes(), own[w["oe"] : w["oe"] + FAR].tobytes()) for w in wanted]
+                words = line_bounds(text.as_py())[0]
+                own = _short(words)
+                for w in wanted:
+                    os, oe = w["os"], w["oe"]
+                    out.append((rk, os, oe, _signed(b" ".join(words[os:oe]), 1), own[max(0, os - FAR) : os].tobytes(), own[oe : oe + FAR].tobytes()))
             if out:
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["ork", "os", "oe", "before", "after"])
+                types = [pa.int64()] * 4 + [pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["ork", "os", "oe", "core", "before", "after"])
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,7 +306,9 @@ def copied_spans(docs: DataFrame, scratch: Scratch, threshold: float, shingle: i
             for i, (d, rk, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True)):
                 words, lines = line_bounds(text.as_py())
                 own, lines, spans = _short(words).tolist(), set(lines.tolist()), []
-                for s, e, ork, os, oe, owner, own_cluster, n_parts, before, after in every[ends[i - 1] if i else 0 : ends[i]]:
+                for s, e, ork, os, oe, owner, own_cluster, n_parts, core, before, after in every[ends[i - 1] if i else 0 : ends[i]]:
+                    if _signed(b" ".join(words[s:e]), 1) != core:
+                        continue
                     back = aligned(own[max(0, s - FAR - GAP) : s][::-1], np.frombuffer(before, np.uint32)[::-1].tolist())
                     ahead = aligned(own[e : e + FAR + GAP], np.frombuffer(after, np.uint32).tolist())
                     la, ra, lb, rb, shared = widest(e - s, back, ahead, threshold, shingle)
@@ -322,13 +321,15 @@ def copied_spans(docs: DataFrame, scratch: Scratch, threshold: float, shingle: i
     texts = _keyed(docs)
     wanted = runs.select("ork", "os", "oe").distinct().groupBy("ork").agg(F.collect_list(F.struct("os", "oe")).alias("wanted"))
     near = texts.join(wanted.hint("shuffle_hash"), F.col("rk") == F.col("ork")).select("rk", "text", "wanted")
-    near = near.mapInArrow(around, "ork long, os long, oe long, before binary, after binary").dropDuplicates(["ork", "os", "oe"])
-    near = scratch.write(runs.join(near, ["ork", "os", "oe"]), "runs-around", "zstd")
-    lists = near.groupBy("rk").agg(F.collect_list(F.struct("s", "e", "ork", "os", "oe", "owner", "cluster", "n_parts", "before", "after")).alias("runs"))
+    near = near.mapInArrow(around, "ork long, os long, oe long, core long, before binary, after binary").dropDuplicates(["ork", "os", "oe"])
+    # written, so that both sides of the join are plain shuffles, which adaptive execution can split at a crowded run
+    words = scratch.write(near, "around", "zstd")
+    near = scratch.write(runs.join(words.hint("merge"), ["ork", "os", "oe"]), "runs-around", "zstd")
+    lists = near.groupBy("rk").agg(F.collect_list(F.struct("s", "e", "ork", "os", "oe", "owner", "cluster", "n_parts", "core", "before", "after")).alias("runs"))
     met = texts.join(lists.hint("shuffle_hash"), "rk").select("d", "rk", "text", "runs")
     spans = met.mapInArrow(extend, "d long, rk long, s long, n long, owner long, cluster long, n_parts long, first boolean, last boolean")
     spans = scratch.write(spans, "copied-spans")
-    scratch.drop(runs, near)
+    scratch.drop(runs, words, near)
     return spans
 
 
@@ -385,20 +386,21 @@ def repeated_spans(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN
     the hash of doc_id and text, first_doc that least id, cluster the least id of
     the components in the span, n_parts the number of paragraphs merged."""
     scratch = scratch or Scratch(docs.sparkSession, "passages")
-    lines = scratch.write(long_lines(docs, min_line, threshold, shingle), "lines", "zstd")
+    found = scratch.write(pieces(docs, min_line, threshold, shingle), "pieces", "zstd")
+    lines, anchors = found.where("n > 0"), found.where("n = 0").select("uid", "d", "rk", "s")
     member = scratch.write(connected_components(line_edges(lines, scratch, threshold, shingle), scratch), "line-components")
-    owners = scratch.write(lines.groupBy("uid").agg(F.min("d").alias("low"), F.max("d").alias("high")), "line-owners")
+    owners = scratch.write(lines.groupBy("uid", "check").agg(F.min("d").alias("low"), F.max("d").alias("high")), "line-owners")
     of_linked = owners.join(member, owners.uid == member.node)
     lowest = scratch.write(of_linked.groupBy("component").agg(F.min("low").alias("owner")), "component-owners")
-    linked = of_linked.join(lowest, "component").select("uid", "owner", F.col("component").alias("cluster"))
-    equal = owners.where("low < high").join(member, owners.uid == member.node, "left_anti").select("uid", F.col("low").alias("owner"), F.col("uid").alias("cluster"))
+    linked = of_linked.join(lowest, "component").select("uid", "check", "owner", F.col("component").alias("cluster"))
+    equal = owners.where("low < high").join(member, owners.uid == member.node, "left_anti").select("uid", "check", F.col("low").alias("owner"), F.col("uid").alias("cluster"))
     classes = scratch.write(linked.union(equal), "line-classes")
-    gone_lines = lines.select("uid", "d", "rk", "s", "n").join(classes, "uid").where("d > owner")
+    gone_lines = lines.select("uid", "check", "d", "rk", "s", "n").join(classes, ["uid", "check"]).where("d > owner")
     gone_lines = gone_lines.select("d", "rk", "s", "n", "owner", "cluster", F.lit(1).cast("long").alias("n_parts"), F.lit(True).alias("first"), F.lit(True).alias("last"))
 
-    copied = copied_spans(docs, scratch, threshold, shingle)
+    copied = copied_spans(docs, anchors, scratch, threshold, shingle)
     parts = scratch.write(gone_lines.unionByName(copied), "parts")
-    scratch.drop(lines, member, owners, lowest, classes, copied)
+    scratch.drop(found, member, owners, lowest, classes, copied)
     parts = parts.withColumn("e", F.col("s") + F.col("n"))
     order = Window.partitionBy("d", "rk").orderBy("s", "e", "cluster")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -429,7 +431,7 @@ def remove_spans(docs: DataFrame, scratch: Scratch | None = None, **how) -> Data
     scratch = scratch or Scratch(docs.sparkSession, "passages-cut")
     inner = Scratch(docs.sparkSession, "passages-spans")
     spans = repeated_spans(docs, scratch=inner, **how)
-    spans = scratch.write(spans.groupBy(F.col("rk").alias("_rk")).agg(F.collect_set(F.struct("start", "n_words")).alias("_spans")), "spans")
+    spans = scratch.write(spans.groupBy(F.col("rk").alias("_span_rk"), F.col("doc_id").alias("_span_doc")).agg(F.collect_set(F.struct("start", "n_words")).alias("_spans")), "spans")
     inner.clear()
 
     @F.pandas_udf("binary")
@@ -438,7 +440,7 @@ def remove_spans(docs: DataFrame, scratch: Scratch | None = None, **how) -> Data
 
     # one plan at every size: texts are shuffled once, a task builds on the spans alone, and
     # the cut is not deterministic to the optimizer so that it runs once for a row
-    met = docs.withColumn("_rk", F.xxhash64("doc_id", "text")).join(spans.hint("shuffle_hash"), "_rk", "left")
+    met = docs.withColumn("_rk", F.xxhash64("doc_id", "text")).join(spans.hint("shuffle_hash"), (F.col("_rk") == F.col("_span_rk")) & F.col("doc_id").eqNullSafe(F.col("_span_doc")), "left")
     met = met.withColumn("text", without.asNondeterministic()(F.col("text").cast("binary"), F.col("_spans")).cast("string"))
     met = met.where(F.col("_spans").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     if "n_chars" in docs.columns:
