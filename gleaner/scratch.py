@@ -2,8 +2,9 @@
 
 A table written here cuts the lineage, survives lost executors and can be
 scanned again. The folder is the one that the session names in
-``spark.checkpoint.dir``; only where none is named (tests, a local shell) is a
-temporary folder made."""
+``spark.checkpoint.dir``; only on a local master (tests, a shell) is a temporary
+folder made where none is named. Tables that lazy results refer to stay until
+``release`` deletes them, which a caller does when the results are consumed."""
 
 from __future__ import annotations
 
@@ -22,15 +23,28 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+#: Folders of this process that are not cleared yet.
+_OPEN: list[Scratch] = []
+
+
+def release() -> None:
+    """Delete what all runs of this process have written."""
+    while _OPEN:
+        _OPEN[-1].clear()
+
+
 class Scratch:
     """Names tables of one run in a folder of its own."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path, self._count = ship(spark), f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
+        _OPEN.append(self)
 
     def place(self, name: str) -> str:
         self._count += 1
@@ -57,3 +71,5 @@ class Scratch:
 
     def clear(self) -> None:
         self.delete(self.path)
+        if self in _OPEN:
+            _OPEN.remove(self)

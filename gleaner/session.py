@@ -27,7 +27,8 @@ BATCH_BYTES = 16 << 20
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the Python workers, once for each Spark context, and
     bound the batches that they hold."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+    bound = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(bound) > BATCH_BYTES:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if not getattr(context, "_gleaner_shipped", False):

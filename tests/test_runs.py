@@ -1,6 +1,14 @@
+import os
+import shutil
+import subprocess
+import sys
+
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 from gleaner.operators import funnel, runs
+from gleaner.scratch import Scratch
+from gleaner.session import BATCH_BYTES, ship
 
 
 def test_clusters_group_by_category_and_closeness():
@@ -37,3 +45,28 @@ def test_funnel_pieces(spark):
     assert tuple(row) == (True, True, False, "not", "vague", ["a", "b"])
     ids = spark.range(90).withColumnRenamed("id", "item_id")
     assert funnel.audit_ids(ids, 0.05).count() == 4 and sorted(funnel.audit_ids(ids, 0.05).collect()) == sorted(funnel.audit_ids(ids.repartition(3), 0.05).collect())
+
+
+def test_the_rest_stands_without_the_training_data_package(tmp_path):
+    """Without the llm folders the entry gives the library's own queries, whether or
+    not the pipeline module is still there."""
+    for keep_pipeline in (True, False):
+        home = tmp_path / str(keep_pipeline)
+        leave = ["llm", ".git", "__pycache__", *([] if keep_pipeline else ["corpus_pipeline.py"])]
+        shutil.copytree(ROOT, home, ignore=shutil.ignore_patterns(*leave))
+        code = "import __spark_entry__ as e; q = e.queries(); assert 'op1_divergence' not in q and 'pipeline' not in q and 'opportunity_ranking' in q and set(e.oracle_sql()) <= set(q)"
+        subprocess.run([sys.executable, "-c", code], cwd=home, check=True, timeout=120)
+
+
+def test_ship_reads_any_size_and_scratch_is_released(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    for size, after in (("64m", str(BATCH_BYTES)), ("1m", "1m"), ("16777216", "16777216")):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+        assert ship(spark).conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == after
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    scratch = Scratch(spark, "t")
+    scratch.write(spark.range(3), "x")
+    at = scratch.path.removeprefix("file:")
+    assert os.path.isdir(at)
+    scratch.clear()
+    assert not os.path.exists(at)
