@@ -26,12 +26,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
-    return simhash.one_per_group(docs, distance=3)
+    return simhash.one_per_group(docs, threshold=0.8, shingle=5)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document before them has."""
-    return passages.remove_spans(docs, min_line=25, min_run=12, threshold=0.8, shingle=5)
+    return passages.remove_spans(docs, min_line=25, min_run=42, threshold=0.8, shingle=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
