@@ -22,7 +22,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH RECURSIVE own AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS ord
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS ord
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -63,7 +63,7 @@ def op3_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeated_spans(table(spark, sf_dir, "documents"), min_line=25, min_run=12, threshold=0.8, shingle=5).drop("rk")
+    return passages.repeated_spans(table(spark, sf_dir, "documents"), min_line=25, min_run=42, threshold=0.8, shingle=5).drop("rk")
 
 
 def op5_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
