@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.labels import LIMIT, with_label
+from gleaner.llm.labels import LIMIT, labelled_texts, with_label
 from gleaner.scratch import Scratch
 
 WORD_BITS = 18
@@ -163,7 +163,7 @@ class Sampler:
         scratch = scratch or Scratch(docs.sparkSession, "importance")
         self.seed = seed
         self.ratios = log_ratios(ngram_counts(with_label(docs, labels, "quality", limit)))
-        labelled = with_label(docs, labels, "quality", limit, "inner").select(weight(F.col("text"), self.ratios).alias("w"), "label").toPandas()
+        labelled = labelled_texts(docs, labels, "quality", limit).select(weight(F.col("text"), self.ratios).alias("w"), "label").toPandas()
         self.point = dividing_point(labelled["w"].to_numpy(), labelled["label"].to_numpy())
         self.scored = scratch.write(self.perturbed(docs.select("doc_id", "text")).drop("text"), "scored")
         self.k = self.scored.where(F.col("log_weight") > self.point).count()

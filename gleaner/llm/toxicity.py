@@ -2,12 +2,14 @@
 
 Features are a text's words and their first four and five letters. Those that
 the toxic rows of the bounded labelled sample hold far more often than the
-others are selected (a fixed number at most), and a document is the sparse
-vector of log counts of them. The labels say only whether a row is toxic, so
-the grades to fit are 0 for rows that are not, and 1, 2 or 3 by the number of
-abusive words for those that are (up to 2, up to 6, more). One weight vector is shared
-by all thresholds: P(grade >= k) = sigmoid(w.x - t_k) with t_1 < t_2 < t_3; the
-expected severity is the sum of the three.
+others are selected, and a document is the sparse vector of log counts of them.
+The labels say only whether a row is toxic, so the grades to fit are 0 for rows
+that are not, and 1, 2 or 3 by the number of abusive words for those that are
+(up to 2, up to 6, more). So that no row is graded by what it taught, the sample
+is cut in two by hash, and the abusive words of a row are those that the *other*
+half's features mark. One weight vector is shared by all thresholds: P(grade >=
+k) = sigmoid(w.x - t_k) with t_1 < t_2 < t_3; the expected severity is the sum
+of the three.
 
 Defined cases: null and empty texts have no features and get the base severity.
 Without toxic labels no feature is selected and nothing is toxic. An empty table
@@ -25,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.labels import LIMIT, with_label
+from gleaner.llm.labels import LIMIT, labelled_texts
+from gleaner.scratch import Scratch
 
 GRADES = 3
-#: Selected features at most, and what a feature must show to be selected.
-FEATURES, LEAST_ROWS, LEAST_LIFT = 4096, 5, 8.0
+#: What a feature must show to be selected; the sample bounds their number.
+LEAST_ROWS, LEAST_LIFT = 5, 8.0
+HALVES = 2
 _WORD = re.compile(r"\w+")
 
 
@@ -42,25 +46,31 @@ def word_counts(text: bytes | None) -> Counter[str]:
     return Counter(_WORD.findall((text or b"").decode("utf-8", "replace").lower()))
 
 
-def select_features(labelled: DataFrame, most: int = FEATURES) -> list[str]:
-    """Features of (text, label) that mark toxic rows, strongest first."""
+def select_features(labelled: DataFrame) -> list[list[str]]:
+    """Features that mark toxic rows of (text, label, half), strongest first: of each
+    half by itself, and last of both together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+        seen: dict[str, list[int]] = defaultdict(lambda: [0] * 2 * HALVES)
         for batch in batches:
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            for text, label, half in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 for part in {p for w in word_counts(text.as_py()) for p in parts(w)}:
-                    seen[part][label > 0] += 1
+                    seen[part][2 * half + (label > 0)] += 1
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in (0, 1))], names=["part", "plain", "toxic"])
-
-    found = labelled.select("text", "label").mapInArrow(run, "part string, plain long, toxic long").groupBy("part").agg(F.sum("plain").alias("plain"), F.sum("toxic").alias("toxic"))
-    totals = labelled.agg(F.count_if(F.col("label") > 0), F.count_if(F.col("label") <= 0)).head()
-    if not totals[0]:
-        return []
-    lift = ((F.col("toxic") + 0.5) / (totals[0] + 1)) / ((F.col("plain") + 0.5) / (totals[1] + 1))
-    strong = found.where(F.col("toxic") >= LEAST_ROWS).withColumn("lift", lift).where(F.col("lift") >= LEAST_LIFT)
-    return [r["part"] for r in strong.orderBy(F.desc(F.col("toxic") * F.log("lift")), "part").limit(most).collect()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(2 * HALVES))], names=["part", *columns])
+
+    columns = [f"{kind}{half}" for half in range(HALVES) for kind in ("plain", "toxic")]
+    found = labelled.select("text", "label", "half").mapInArrow(run, "part string, " + ", ".join(f"{c} long" for c in columns))
+    found = found.groupBy("part").agg(*[F.sum(c).alias(c) for c in columns]).where(sum(F.col(f"toxic{h}") for h in range(HALVES)) >= LEAST_ROWS)
+    sizes = {(r["half"], r["toxic"]): r["n"] for r in labelled.groupBy("half", (F.col("label") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    rows, out = found.toPandas(), []
+    for halves in ([0], [1], [0, 1]):
+        toxic, plain = (sum(rows[f"{kind}{h}"].astype("int64") for h in halves) for kind in ("toxic", "plain"))
+        of_toxic, of_plain = (sum(sizes.get((h, t), 0) for h in halves) for t in (True, False))
+        lift = ((toxic + 0.5) / (of_toxic + 1)) / ((plain + 0.5) / (of_plain + 1))
+        strong = rows.assign(strength=toxic * np.log(lift))[(toxic >= LEAST_ROWS) & (lift >= LEAST_LIFT)]
+        out.append(strong.sort_values(["strength", "part"], ascending=[False, True])["part"].tolist())
+    return out
 
 
 class Lookup:
@@ -121,20 +131,24 @@ def fit(rows: list[tuple[list[int], list[float], int]], n_features: int, steps:
 class Grader:
     """The fitted regression."""
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, limit: int = LIMIT):
-        labelled = with_label(docs, labels, "toxic", limit, "inner").select("text", "label")
-        self.features = select_features(labelled)
+    def __init__(self, docs: DataFrame, labels: DataFrame, limit: int = LIMIT, scratch: Scratch | None = None):
+        scratch = scratch or Scratch(docs.sparkSession, "severity")
+        half = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(HALVES)).cast("int").alias("half")
+        labelled = scratch.write(labelled_texts(docs, labels, "toxic", limit).select("text", "label", half), "labelled")
+        *of_halves, self.features = select_features(labelled)
         features = self.features
 
         @F.pandas_udf("struct<at array<int>, n array<double>, abusive int>")
-        def vector(texts: pd.Series) -> pd.DataFrame:
-            look = Lookup(features)
-            found = [look(t) for t in texts]
-            return pd.DataFrame({"at": [list(c) for c, _ in found], "n": [list(np.log1p(list(c.values()))) for c, _ in found], "abusive": [a for _, a in found]})
+        def vector(texts: pd.Series, halves: pd.Series) -> pd.DataFrame:
+            look, others = Lookup(features), [Lookup(f) for f in of_halves]
+            found = [look(t)[0] for t in texts]
+            abusive = [others[1 - h](t)[1] for t, h in zip(texts, halves, strict=True)]
+            return pd.DataFrame({"at": [list(c) for c in found], "n": [list(np.log1p(list(c.values()))) for c in found], "abusive": abusive})
 
-        rows = labelled.select(vector("text").alias("x"), "label").select("x.*", "label").collect() if features else []
+        rows = labelled.select(vector("text", "half").alias("x"), "label").select("x.*", "label").collect() if features else []
         sample = [(r["at"], r["n"], grade_of(r["label"] > 0, r["abusive"])) for r in rows]
         self.weights, self.thresholds = fit(sample, len(features)) if sample else (np.zeros(0), np.arange(5.0, 5.0 + GRADES))
+        scratch.drop(labelled)
 
     def graded(self, docs: DataFrame) -> DataFrame:
         """``doc_id, expected_severity, grade, toxic, n_abusive`` of each row."""
