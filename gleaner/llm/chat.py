@@ -11,9 +11,11 @@ fixed size. Viterbi gives the roles, and turns are rendered as
 Transcripts are parsed one by one. Those of a table of turns are built in parts
 of PART turns at most, so that no conversation has to fit into one task.
 
+Blank lines inside a turn stay; those before and after it part the turns and go.
+
 Defined cases: null and empty transcripts have no turns and render as an empty
-text. Turns without text still count as turns when a transcript is built. Rows
-that repeat a conversation's turn in every column are one turn; turns that share
+text. A turn without text is a marker alone, which parses as a turn without text.
+Rows that repeat a conversation's turn in every column are one turn; turns that share
 a number stay in the order of their text. A null number comes first; rows without
 conv_id are transcripts of one turn each. A role that is not known is taken as user in
 the counts. Empty tables give no rows."""
@@ -43,7 +45,7 @@ MARKERS, LENGTHS = 5, 4  # none, the three roles, an unknown name; by length of
 SYMBOLS = MARKERS * 2 * 2 * LENGTHS
 STATES = 2 * len(ROLES)
 _NAMES = {name: i + 1 for i, role in enumerate(ROLES) for name in ALIASES[role]}
-_MARKER = re.compile(r"^\s*(?:[#*>\[(<|]{0,4}\s*)([A-Za-z]{1,12})\s*(?:[\])>|*]{0,3}\s*(?::\**|[-–](?=\s))|[\])>|]{1,3})\s*")
+_MARKER = re.compile(r"^\s*(?:[#*>\[(<|]{0,4}\s*)([A-Za-z]{1,12})\s*(?:[\])>|*]{0,3}\s*(?::\**|[-–](?=\s))|[\])>|]{1,3})[ \t]?")
 
 
 def marker(line: str) -> tuple[int, int]:
@@ -52,12 +54,14 @@ def marker(line: str) -> tuple[int, int]:
     return (_NAMES.get(m[1].lower(), MARKERS - 1), m.end()) if m else (0, 0)
 
 
-def observe(text: str) -> tuple[list[str], list[int], np.ndarray]:
-    """Lines with a word, where their text begins, and their symbols."""
-    lines, begins, symbols, blank = [], [], [], True
+def observe(text: str) -> tuple[list[str], list[int], np.ndarray, list[list[str]]]:
+    """Lines with a word, where their text begins, their symbols, and the blank lines
+    before them."""
+    lines, begins, symbols, blanks, blank, skipped = [], [], [], [], True, []
     for line in text.split("\n"):
         if not line.strip():
             blank = True
+            skipped.append(line)
             continue
         kind, begin = marker(line)
         size = len(line) - begin
@@ -66,8 +70,9 @@ def observe(text: str) -> tuple[list[str], list[int], np.ndarray]:
         lines.append(line)
         begins.append(begin)
         symbols.append(symbol)
-        blank = False
-    return lines, begins, np.array(symbols, np.int64)
+        blanks.append(skipped)
+        blank, skipped = False, []
+    return lines, begins, np.array(symbols, np.int64), blanks
 
 
 class Hmm:
@@ -100,16 +105,16 @@ class Hmm:
 
 def parse(text: str | None, model: Hmm) -> tuple[list[tuple[str, str]], np.ndarray]:
     """Turns (role, text) of a transcript, and the role of each line."""
-    lines, begins, symbols = observe(text or "")
+    lines, begins, symbols, blanks = observe(text or "")
     if not lines:
         return [], np.zeros(0, np.int64)
     states = model.viterbi(symbols)
     turns: list[tuple[str, list[str]]] = []
-    for line, begin, state in zip(lines, begins, states.tolist(), strict=True):
+    for line, begin, state, gap in zip(lines, begins, states.tolist(), blanks, strict=True):
         if state % 2 == 0:
             turns.append((ROLES[state // 2], [line[begin:]]))
         else:
-            turns[-1][1].append(line)
+            turns[-1][1].extend([*gap, line])
     return [(role, "\n".join(own)) for role, own in turns], states // 2
 
 
@@ -159,13 +164,13 @@ def build_transcripts(turns: DataFrame, unmarked: int = 12, part: int = PART) ->
     @F.pandas_udf("struct<text string, truth array<int>>")
     def write(style: pd.Series, turns: pd.Series) -> pd.DataFrame:
         out = []
-        for s, own in zip(style, turns, strict=True):
+        for s, all_turns in zip(style, turns, strict=True):
             texts, truth = [], []
-            for i, t in enumerate(own):
-                lines = [x for x in t["text"].split("\n") if x.strip()] or ["..."]
-                mark = STYLES[s][t["role"]] if i == 0 or t["h"] >= unmarked else ""
-                texts.append(mark + "\n".join(lines))
-                truth += [2 * t["role"]] + [2 * t["role"] + 1] * (len(lines) - 1)
+            for i, t in enumerate(all_turns):
+                own = t["text"] if t["text"].strip() else ""
+                full = (STYLES[s][t["role"]] if i == 0 or t["h"] >= unmarked or not own else "") + own
+                texts.append(full)
+                truth += [2 * t["role"]] + [2 * t["role"] + 1] * (sum(1 for x in full.split("\n") if x.strip()) - 1)
             out.append(("\n\n".join(texts), truth))
         return pd.DataFrame(out, columns=["text", "truth"])
 
