@@ -100,11 +100,25 @@ def run_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def anchor_points(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the least hash in every ``window`` consecutive ones (ties: the first)."""
+    """Positions such that every ``window`` consecutive ones hold one with their least
+    hash. Where that hash comes again and again, as in a word said a thousand times, no
+    more of its places are taken than that needs."""
     if not len(grams):
         return np.empty(0, np.int64)
     seen = np.lib.stride_tricks.sliding_window_view(grams, min(window, len(grams)))
-    return np.unique(seen.argmin(axis=1) + np.arange(len(seen)))
+    found = np.unique(seen.argmin(axis=1) + np.arange(len(seen)))
+    again = np.flatnonzero((grams[found[1:]] == grams[found[:-1]]) & (np.diff(found) <= window))
+    if not len(again):
+        return found
+    keep = np.ones(len(found), bool)
+    for i in again.tolist():  # found[i + 1] repeats found[i]
+        if not keep[i]:
+            continue
+        j = i + 1
+        while j + 1 < len(found) and grams[found[j + 1]] == grams[found[i]] and found[j + 1] <= found[i] + window:
+            keep[j] = False
+            j += 1
+    return found[keep]
 
 
 def line_bounds(text: bytes) -> tuple[list[bytes], np.ndarray]:
