@@ -14,9 +14,11 @@ spans (shingles in aligned equal blocks) stays at the threshold or above.
 
 Of each component, and of equal anchors, the copies in the document with the
 least id stay, and those in other documents go. What goes in a document is merged
-into spans, over line ends too; a span is removed if it has ``min_line`` words or
-more, or ``min_run`` in the midst of a line. Shorter whole lines that many
-documents share (licences, greetings) stay.
+into spans, over line ends too. A span counts if it has ``min_run`` words or more,
+or if it is of whole lines and has ``min_line``. The first is for passages of over
+50 words, less the 4 (a shingle's, but one) that an edit near either end can part
+from them; what documents share in shorter pieces (licences, greetings, a sentence
+quoted) stays.
 
 Counts, joins and components are distributed; only colliding lines have their
 texts brought together, in bounded groups (see links). Whole texts are read.
@@ -43,14 +45,14 @@ from gleaner.llm.links import link, shared_keys
 from gleaner.operators.components import connected_components
 from gleaner.scratch import Scratch
 
-MIN_LINE, MIN_RUN = 25, 12
+MIN_LINE, MIN_RUN = 25, 42
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.99
 #: Words of an anchor, and of the positions of which one is an anchor.
 ANCHOR = 10
 #: Of an extension: words of one text between equal blocks, least words of a block
 #: behind such a gap, and words of the other text that are brought along on either side.
 GAP, MEET, FAR = 16, 3, 64
-BLOCK = 256
+BLOCK = 128
 NO_ID = (1 << 63) - 1
 
 _U = np.uint64
@@ -424,7 +426,7 @@ def repeated_spans(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN
         F.min_by("first", "s").alias("first"), F.max_by("last", "e").alias("last"),
     )
     spans = spans.withColumn("n_words", F.col("end") - F.col("start"))
-    spans = spans.where((F.col("n_words") >= min_line) | ((F.col("n_words") >= min_run) & ~(F.col("first") & F.col("last"))))
+    spans = spans.where((F.col("n_words") >= min_run) | ((F.col("n_words") >= min_line) & F.col("first") & F.col("last")))
     return spans.select(F.when(F.col("d") != NO_ID, F.col("d")).alias("doc_id"), "rk", "start", "n_words", "first_doc", "cluster", "n_parts")
 
 
