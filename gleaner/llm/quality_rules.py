@@ -1,17 +1,17 @@
 """Quality rules: base counts, and divergence from language references.
 
 For each language of the table two reference distributions are built from whole
-texts of all its documents: over character classes, and over its most common
-words and all others. A document is compared with those of its language by the
-Jensen-Shannon distance (base 2), characters only from MIN_CHARS characters on
-and words only from MIN_WORDS words on; the limits fall with the length, as a
-short text strays by chance. A language with less than a
-ten-thousandth of all words, and the null language, are compared with all
-languages together, so the references have a bounded size.
-
-Common words are found in two passes: the first sums each partition's frequent
-words (lossy counting, so that its memory is bounded), the second counts these
-exactly.
+texts of all its documents: over character classes, and over its COMMON most
+common words and all others. A document is compared with those of its language
+by the Jensen-Shannon distance (base 2), characters only from MIN_CHARS
+characters on and words only from MIN_WORDS words on; the limits fall with the
+length, as a short text strays by chance. The references are those of the corpus
+as it is, its junk included. A language of fewer than REFERENCE words, and the
+null language, are compared with all languages together.
+
+One reading of the texts counts every word of every language exactly; a task
+hands its counts on whenever it holds ROOM words. The judging is a second one.
+References of LANGUAGES languages are held at once, more go in blocks.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not
 kept. Rows are judged one by one, repeated ids too. An empty table gives no
@@ -21,23 +21,27 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.scratch import Scratch
+
 SYMBOLS = "#*$%&|<>"
 COMMON = 50
-#: A word counts as frequent in a partition from this share of its language's words on.
-FREQUENT = 1e-3
+#: Words of a language that make a reference.
+REFERENCE = 10_000
+#: Words that a task counts before it hands them on; languages whose references are held at once.
+ROOM, LANGUAGES = 500_000, 10_000
 MIN_CHARS, MIN_WORDS = 200, 60
 #: Largest distances of characters and words, and what short texts get on top:
 #: the slack over the root of the number of characters or words.
 MAX_CHARS, CHAR_SLACK = 0.2, 1.5
 MAX_WORDS, WORD_SLACK = 0.18, 2.5
-POOLED = "*"
 
 # character classes: lower, upper, other letters, digits, space, line end, punctuation, symbols, others
 _TABLE = np.full(0x10000, 8, np.uint8)
@@ -97,86 +101,81 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
     return max(0.0, (part(p) + part(q)) / 2) ** 0.5
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce("lang", F.lit(POOLED)).alias("lang"), F.col("text").cast("binary").alias("text"))
-
-
-def _decoded(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        if text := text.as_py():
-            yield lang, text.decode("utf-8", "replace")
-
-
-def frequent_words(docs: DataFrame, share: float = FREQUENT, room: int = 200_000) -> list[str]:
-    """Words that are frequent in their language in some partition: 1 / share for
-    each language and partition at most, the most common 20 * COMMON of each language kept."""
+def word_counts(docs: DataFrame, room: int = ROOM) -> DataFrame:
+    """``lang, slot, word, n``: of each language its characters by class (slot), its
+    words in all (slot CLASSES) and each of its words (slot -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter[str]] = {}
-        totals: Counter[str] = Counter()
-        for batch in batches:
-            for lang, text in _decoded(batch):
-                words = text.lower().split()
-                totals[lang] += len(words)
-                own = counts.setdefault(lang, Counter())
-                own.update(words)
-                if len(own) > room:  # drop what cannot be frequent any more
-                    least = totals[lang] * share / 10
-                    counts[lang] = Counter({w: n for w, n in own.items() if n > least})
-        rows = [(lang, w, n) for lang, own in counts.items() for w, n in own.items() if n >= max(2, totals[lang] * share)]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["lang", "word", "n"])
-
-    from pyspark.sql import Window
-
-    found = _texts(docs).mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= 20 * COMMON)
-    return sorted({r["word"] for r in best.select("word").distinct().collect()})
-
-
-def references(docs: DataFrame, common: int = COMMON) -> dict[str, tuple[np.ndarray, dict[str, int], np.ndarray]]:
-    """For each language: counts of classes, its common words in order, and counts
-    of these and of all others. POOLED holds all languages together."""
-    words = frequent_words(docs)
-    index = {w: i for i, w in enumerate(words)}
-    width = CLASSES + len(words) + 1
+        words: dict[str | None, Counter[str]] = {}
+        classes: dict[str | None, np.ndarray] = {}
+
+        def rows() -> pa.RecordBatch:
+            out = [(lang, i, "", int(n)) for lang, own in classes.items() for i, n in enumerate(own) if n]
+            out += [(lang, CLASSES, "", own.total()) for lang, own in words.items()]
+            out += [(lang, -1, w, n) for lang, own in words.items() for w, n in own.items()]
+            words.clear()
+            classes.clear()
+            types = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["lang", "slot", "word", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lang, text in _decoded(batch):
-                own = sums.setdefault(lang, np.zeros(width, np.int64))
-                own[:CLASSES] += class_counts(text)
-                counts = Counter(text.lower().split())
-                own[-1] += counts.total()
-                for w in counts.keys() & index.keys():
-                    own[CLASSES + index[w]] += counts[w]
-        rows = [(lang, int(i), int(own[i])) for lang, own in sums.items() for i in np.flatnonzero(own)]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["lang", "slot", "n"])
-
-    summed = _texts(docs).mapInArrow(run, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    sizes = summed.where(F.col("slot") == width - 1)
-    total = sizes.agg(F.sum("n")).head()[0] or 0
-    large = [r["lang"] for r in sizes.where((F.col("n") >= total / 10_000) & (F.col("lang") != POOLED)).select("lang").collect()]
-    own = summed.where(F.col("lang").isin(large)) if large else summed.limit(0)
-    pooled = summed.groupBy("slot").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "slot", "n")
-    tables: dict[str, np.ndarray] = {}
-    for r in own.unionByName(pooled).collect():
-        tables.setdefault(r["lang"], np.zeros(width, np.int64))[r["slot"]] = r["n"]
-    out = {}
-    for lang, table in tables.items():
-        counts = table[CLASSES:-1]
-        best = sorted(np.flatnonzero(counts), key=lambda i: (-counts[i], words[i]))[:common]
-        out[lang] = table[:CLASSES], {words[i]: k for k, i in enumerate(best)}, np.append(counts[best], table[-1] - counts[best].sum())
-    return out
-
-
-def judge(docs: DataFrame) -> DataFrame:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if text := text.as_py():
+                    text = text.decode("utf-8", "replace")
+                    words.setdefault(lang, Counter()).update(text.lower().split())
+                    classes.setdefault(lang, np.zeros(CLASSES, np.int64))
+                    classes[lang] += class_counts(text)
+            if sum(map(len, words.values())) > room:
+                yield rows()
+        if words:
+            yield rows()
+
+    found = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, "lang string, slot int, word string, n long")
+    return found.groupBy("lang", "slot", "word").agg(F.sum("n").alias("n"))
+
+
+Reference = tuple[np.ndarray, dict[str, int], np.ndarray]
+
+
+def references(counts: DataFrame, common: int = COMMON) -> dict[str | None, Reference]:
+    """For each language of the counts that is not null: counts of classes, its common
+    words in order, and counts of these and of all others."""
+    own = counts.where("lang is not null")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    best = own.where("slot = -1").withColumn("place", F.row_number().over(order)).where(F.col("place") <= common)
+    rows = own.where("slot >= 0").withColumn("place", F.lit(0)).unionByName(best).orderBy("lang", "slot", "place").collect()
+    classes, words, totals = {}, {}, {}
+    for r in rows:
+        if r["slot"] < 0:
+            words.setdefault(r["lang"], []).append((r["word"], r["n"]))
+        elif r["slot"] == CLASSES:
+            totals[r["lang"]] = r["n"]
+        else:
+            classes.setdefault(r["lang"], np.zeros(CLASSES, np.int64))[r["slot"]] = r["n"]
+    return {
+        lang: (classes[lang], {w: i for i, (w, _) in enumerate(words.get(lang, []))}, np.array([*(n for _, n in words.get(lang, [])), total - sum(n for _, n in words.get(lang, []))]))
+        for lang, total in totals.items()
+    }
+
+
+def judge(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, char_distance, word_distance`` of each row; a distance
     that was not measured is null."""
-    known = references(docs)
+    scratch = scratch or Scratch(docs.sparkSession, "divergence")
+    counts = scratch.write(word_counts(docs), "counts")
+    pooled = counts.groupBy("slot", "word").agg(F.sum("n").alias("n")).withColumn("lang", F.lit("*"))
+    pooled = references(scratch.write(pooled, "pooled")).get("*")
+    large = scratch.write(counts.where((F.col("slot") == CLASSES) & (F.col("n") >= REFERENCE) & F.col("lang").isNotNull()).select("lang"), "languages")
+    own, blocks = counts.join(large, "lang", "left_semi"), -(-large.count() // LANGUAGES)
+    if blocks <= 1:
+        return judged(docs, references(own), pooled)
+    of = F.pmod(F.xxhash64(F.coalesce("lang", F.lit(""))), F.lit(blocks))
+    return reduce(DataFrame.unionByName, [judged(docs.where(of == b), references(own.where(of == b)), pooled) for b in range(blocks)])
+
+
+def judged(docs: DataFrame, known: dict[str | None, Reference], pooled: Reference | None) -> DataFrame:
+    """The rows of docs by the references of their languages, or else the pooled one."""
 
     @F.pandas_udf("struct<n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double>")
     def rules(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
@@ -187,7 +186,7 @@ def judge(docs: DataFrame) -> DataFrame:
             failed = n < 10 or 100 * rest[-1] > 20 * n
             chars = words = None
             if not failed:
-                classes, common, usual = known.get(lang) or known[POOLED]
+                classes, common, usual = known.get(lang) or pooled
                 if len(text) >= MIN_CHARS:
                     chars = distance(class_counts(text), classes)
                 if n >= MIN_WORDS:
