@@ -2,21 +2,26 @@
 
 Labels of a host and parts of a path are often words run together; they are
 split by the unigram Viterbi path, with word counts gathered from the text of
-all pages and a list of common web words. All words count; those that occur in
-no host or path cannot be on a path and are not brought to the driver. Multinomial naive Bayes then scores the words of
-host and path. It is trained on all pages with weak labels: a page whose host
-has a word of SEEDS counts as one to block. Words are hashed into a fixed number
-of slots, so the counts have a bounded size.
-
-Defined cases: a null url, and one without ``://``, has empty host and path, fits
-no rule and is allowed. Rows are judged one by one, repeated ids too; null page
-ids are returned as null. An empty table gives no rows."""
+all pages and a list of common web words. Counts, names and their words stay
+distributed: every distinct name is brought together with the counted words that
+it holds, is split once, and its words go back to the urls that have it.
+Multinomial naive Bayes then scores the words of host and path. It is trained on
+all pages with weak labels: a page whose host has a word of SEEDS counts as one
+to block. Words are hashed into a fixed number of slots, so the counts have a
+bounded size.
+
+Defined cases: words and names are runs of letters of any script, lower-cased;
+digits and marks part them. Segments have LONGEST letters at most, and one letter
+alone is no known word. A null url, and one without ``://``, has empty host and
+path, fits no rule and is allowed. Rows are judged one by one, repeated ids too;
+null page ids are returned as null. An empty table gives no rows."""
 
 from __future__ import annotations
 
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +38,13 @@ SEEDS = tuple("adult ads bet bets betting bitcoin casino cheap crack escort gamb
 #: Common words of names on the web, for the segmentation.
 WEB_WORDS = tuple("about account app article articles best blog blogs book books buy care city cloud club code com community contact data day design dev docs download edu english farm food forum forums free game games go guide health help home host hotel html index info item learn life link links list live local mail map media menu mobile money movie music net network new news office online open page pages photo play post posts press product products read review reviews school science search server service shop site sites social software sport sports store story stream support tag team tech time tips top track travel user video video view web wiki win work world".split())
 #: Letters of the longest word.
-LONGEST = 24
+LONGEST = 32
 SLOTS = 1 << 16
+#: A listed word counts as one of so many words at least.
+LISTED = 2000
 #: Added to the count of every slot that was seen.
 SMOOTH = 0.1
-_PARTS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[^\W\d_]+")
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -61,72 +68,79 @@ def fitting_rule(host: Column, path: Column, rules: tuple[tuple[str, str], ...]
 
 def host_names(host: str) -> list[str]:
     labels = host.split(".")[:-1] if "." in host else [host]  # the last label says nothing of content
-    return [p for x in labels for p in _PARTS.findall(x)]
+    return [p for x in labels for p in _PARTS.findall(x.lower())]
 
 
 def path_names(path: str) -> list[str]:
     return _PARTS.findall(path.lower())
 
 
-def substrings(parsed: DataFrame) -> DataFrame:
-    """``word``: everything in the names of hosts and paths that can be a word."""
+def counted_words(pages: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, float]:
+    """``word, n`` of whole texts of all pages, in which listed words count as one in
+    LISTED at least; their sum, and the score of a word not counted, before its length."""
 
-    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {n for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for n in (*host_names(h), *path_names(p))}
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["name"])
+            counts: Counter[str] = Counter()
+            for html in batch.column(0):
+                counts.update(_PARTS.findall(re.sub(r"<[^>]*>", " ", (html.as_py() or b"").decode("utf-8", "replace")).lower()))
+            found = [(w, n) for w, n in counts.items() if 1 < len(w) <= LONGEST]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.string(), pa.int64()), strict=True)], names=["word", "n"])
 
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = pages.select(F.col("html").cast("binary")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = scratch.write(found, "words")
+    total, least = found.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.min("n"), F.lit(1))).head()
+    listed, floor = sorted({*WEB_WORDS, *SEEDS}), max(1, total // LISTED)
+    known = {r["word"]: r["n"] for r in found.where(F.col("word").isin(listed)).collect()}
+    raised = {w: max(known.get(w, 0), floor) for w in listed}
+    total += sum(n - known.get(w, 0) for w, n in raised.items())
+    listed = pages.sparkSession.createDataFrame(list(raised.items()), "word string, n long")
+    return found.where(~F.col("word").isin(list(raised))).unionByName(listed), total, math.log10(min(least, floor) / total) - 1
+
+
+def names_of(parsed: DataFrame) -> DataFrame:
+    """``row, kind, place, name`` of every name of the hosts (kind 0) and paths (1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for n in batch.column(0).to_pylist():
-                found = {n[i:j] for i in range(len(n)) for j in range(i + 2, min(i + LONGEST, len(n)) + 1)}
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["word"])
+            out = []
+            for row, host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                out += [(row, kind, i, n) for kind, own in enumerate((host_names(host), path_names(path))) for i, n in enumerate(own)]
+            if out:
+                types = [pa.int64(), pa.int32(), pa.int32(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["row", "kind", "place", "name"])
 
-    return parsed.select("host", "path").mapInArrow(names, "name string").distinct().mapInArrow(parts, "word string").distinct()
+    return parsed.select("row", "host", "path").mapInArrow(run, "row long, kind int, place int, name string")
 
 
-def word_scores(pages: DataFrame, parsed: DataFrame, scratch: Scratch) -> tuple[dict[str, float], float]:
-    """log10 probability of the words that names can hold, counted in whole texts of
-    all pages, and the score of a word not counted, before its length."""
+def segmented(names: DataFrame, words: DataFrame, total: int, unseen: float) -> DataFrame:
+    """``name, words`` of distinct names: the likeliest path over the counted words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[str, int] = {}
-            for html in batch.column(0):
-                text = re.sub(r"<[^>]*>", " ", (html.as_py() or b"").decode("utf-8", "replace")).lower()
-                for w in _PARTS.findall(text):
-                    if 1 < len(w) <= LONGEST:
-                        counts[w] = counts.get(w, 0) + 1
-            if counts:
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-    counted = pages.select(F.col("html").cast("binary")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = scratch.write(counted, "words")
-    total, least = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.min("n"), F.lit(1))).head()
-    listed = sorted({*WEB_WORDS, *SEEDS})
-    rows = {r["word"]: r["n"] for r in counted.join(substrings(parsed), "word", "left_semi").union(counted.where(F.col("word").isin(listed))).collect()}
-    floor = max(1, total // 2000)
-    for w in listed:
-        total += max(0, floor - rows.get(w, 0))
-        rows[w] = max(rows.get(w, 0), floor)
-    return {w: math.log10(n / total) for w, n in rows.items()}, math.log10(min(least, floor) / total) - 1
+            for n in batch.column(0).to_pylist():
+                for at in range(0, len(n), 256):  # of long names, some beginnings at a time
+                    found = list({n[i:j] for i in range(at, min(len(n), at + 256)) for j in range(i + 2, min(i + LONGEST, len(n)) + 1)})
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array([n] * len(found)), pa.array(found)], names=["name", "word"])
+
+    @F.pandas_udf("array<string>")
+    def split(names: pd.Series, known: pd.Series) -> pd.Series:
+        own = ({} if k is None else {x["word"]: math.log10(x["n"] / total) for x in k} for k in known)
+        return pd.Series([Segmenter(scores, unseen).split(n) for n, scores in zip(names, own, strict=True)])
+
+    held = names.mapInArrow(parts, "name string, word string").join(words, "word").groupBy("name").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    return names.join(held, "name", "left").select("name", split("name", "known").alias("words"))
 
 
 class Segmenter:
-    """Unigram Viterbi with a memory of names."""
+    """Unigram Viterbi: scores are log10 probabilities of words."""
 
-    def __init__(self, scores: dict[str, float], unseen: float | None = None, longest: int = LONGEST, remember: int = 200_000):
-        self.scores, self.longest, self.remember, self.known = scores, longest, remember, {}
+    def __init__(self, scores: dict[str, float], unseen: float | None = None, longest: int = LONGEST):
+        self.scores, self.longest = scores, longest
         self.unseen = min(scores.values(), default=0.0) - 1 if unseen is None else unseen
 
-    def __call__(self, name: str) -> list[str]:
-        found = self.known.get(name)
-        if found is None:
-            if len(self.known) >= self.remember:
-                self.known.clear()
-            found = self.known[name] = self.split(name)
-        return found
-
     def split(self, name: str) -> list[str]:
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
@@ -143,9 +157,6 @@ class Segmenter:
             end = back[end]
         return out[::-1]
 
-    def words(self, host: str, path: str) -> tuple[list[str], list[str]]:
-        return [w for n in host_names(host) for w in self(n)], [w for n in path_names(path) for w in self(n)]
-
 
 def slots(host_words: list[str], path_words: list[str]) -> list[int]:
     return [zlib.crc32(f"{kind}{w}".encode()) % SLOTS for kind, own in (("h ", host_words), ("p ", path_words)) for w in own]
@@ -167,22 +178,22 @@ class Bayes:
         return self.prior + float(self.logs[found].sum()) if found else self.prior
 
 
-def train(parsed: DataFrame, segment_scores: tuple[dict[str, float], float]) -> Bayes:
+def train(worded: DataFrame) -> Bayes:
+    """From (host_words, path_words) of all pages."""
     seeds = frozenset(SEEDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, table, rows = Segmenter(*segment_scores), np.zeros((2, SLOTS), np.int64), [0, 0]
+        table, rows = np.zeros((2, SLOTS), np.int64), [0, 0]
         for batch in batches:
-            for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own, more = segment.words(host, path)
-                label = int(not seeds.isdisjoint(own))
+            for own, more in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                label = int(not seeds.isdisjoint(own or []))
                 rows[label] += 1
-                np.add.at(table[label], slots(own, more), 1)
+                np.add.at(table[label], slots(own or [], more or []), 1)
         at = [np.flatnonzero(x) for x in table]
         out = [(k, int(i), int(table[k][i])) for k in (0, 1) for i in at[k]] + [(k, -1, rows[k]) for k in (0, 1)]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["label", "slot", "n"])
 
-    summed = parsed.select("host", "path").mapInArrow(run, "label long, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow()
+    summed = worded.select("host_words", "path_words").mapInArrow(run, "label long, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow()
     words, rows = np.zeros((2, SLOTS)), np.zeros(2)
     for label, slot, n in zip(*(summed.column(c).to_pylist() for c in ("label", "slot", "n")), strict=True):
         if slot < 0:
@@ -196,18 +207,23 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, scr
     """``page_id, host, path, rule, verdict, log_odds, words`` of each row."""
     scratch = scratch or Scratch(pages.sparkSession, "urls")
     host, path = split_url(F.col("url"))
-    parsed = scratch.write(pages.select("page_id", host.alias("host"), path.alias("path")), "parsed")
-    scores = word_scores(pages, parsed, scratch)
-    model = train(parsed, scores)
-
-    @F.pandas_udf("struct<log_odds double, words string>")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        segment = Segmenter(*scores)
-        for hosts, paths in batches:
-            found = [segment.words(h, p) for h, p in zip(hosts, paths, strict=True)]
-            yield pd.DataFrame({"log_odds": [model.odds(slots(*x)) for x in found], "words": [" ".join([*h, "/", *p]) for h, p in found]})
+    parsed = scratch.write(pages.select("page_id", host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row")), "parsed")
+    names = scratch.write(names_of(parsed), "names")
+    split = scratch.write(segmented(scratch.write(names.select("name").distinct(), "distinct"), *counted_words(pages, scratch)), "segmented")
+    # written, so that the join is a stage of its own, in which a name that many urls share can be split
+    met = scratch.write(names.join(split, "name").select("row", "kind", "place", "words"), "words-met")
+    of = lambda k: F.flatten(F.transform(F.filter("all", lambda x: x["kind"] == k), lambda x: x["words"])).alias(("host_words", "path_words")[k])
+    own = met.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "place", "words"))).alias("all")).select("row", of(0), of(1))
+    worded = scratch.write(parsed.join(own, "row", "left"), "worded")
+    scratch.drop(names, split, met)
+    model = train(worded)
+
+    @F.pandas_udf("double")
+    def odds(hosts: pd.Series, paths: pd.Series) -> pd.Series:
+        return pd.Series([model.odds(slots([] if h is None else h, [] if p is None else p)) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
 
     rule, fate = fitting_rule(F.col("host"), F.col("path"), rules)
-    judged = parsed.withColumn("rule", rule).withColumn("fate", fate).withColumn("s", score("host", "path"))
-    method = F.when((F.col("host") != "") & (F.col("s.log_odds") > 0), "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", "rule", F.coalesce("fate", method).alias("verdict"), "s.log_odds", "s.words")
+    judged = worded.withColumn("rule", rule).withColumn("fate", fate).withColumn("log_odds", odds("host_words", "path_words"))
+    method = F.when((F.col("host") != "") & (F.col("log_odds") > 0), "block").otherwise("allow")
+    listed = F.concat_ws(" ", F.col("host_words"), F.lit("/"), F.col("path_words")).alias("words")
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("fate", method).alias("verdict"), "log_odds", listed)
