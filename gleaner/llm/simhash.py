@@ -38,7 +38,7 @@ from gleaner.operators.components import connected_components
 from gleaner.scratch import Scratch
 
 #: Rows of one key that are verified at once; more are cut into pairs of chunks.
-BLOCK = 1024
+BLOCK = 256
 #: The same for sets of shingles, which are larger.
 SET_BLOCK = 256
 
