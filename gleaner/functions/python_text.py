@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 _TAG, _QUOTE = re.compile(r"<[^>\n]{1,400}>"), re.compile(r"^\s*>.*$", re.M)
 _IMAGE, _LINK = re.compile(r"!\[[^\]]*\]\([^)]*\)"), re.compile(r"\[([^\]]*)\]\([^)]*\)")
 _MARKS = re.compile(r"(\*\*|__|~~|`{1,3}|^#{1,6}\s)", re.M)
-_PHONE = re.compile(r"(?<![\w.])\+?\d[\d ()-]{8,18}\d(?![\w.])")
+_PHONE = re.compile(r"(?<!\d)\+?\d[\d\s().-]{8,20}\d(?!\d)")
 
 
 def strip_markup(text: str) -> str:
@@ -34,9 +34,11 @@ def name_emoji(text: str) -> str:
 
 
 def looks_like_phone(found: str) -> bool:
-    digits = re.sub(r"\D", "", found)
-    dated = re.fullmatch(r"\d{4}-\d{2}-\d{2}.*", found.strip())
-    return 10 <= len(digits) <= 15 and not dated and not re.fullmatch(r"\d{12}", found.strip())
+    """10 to 15 digits that are no date, no version and no bare id of 12."""
+    digits, compact = re.sub(r"\D", "", found), re.sub(r"\s", "", found)
+    dated = re.fullmatch(r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4}", compact)
+    version = re.fullmatch(r"\d{1,4}(\.\d{1,12}){2,}", compact)
+    return 10 <= len(digits) <= 15 and not (dated or version or (len(digits) == 12 and found.strip().isdigit()))
 
 
 def redact_phones(text: str) -> tuple[str, int]:

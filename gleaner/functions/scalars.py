@@ -71,8 +71,9 @@ def keep_last(history: Column, n: int = 5) -> Column:
 
 
 def drop_empty(values: Column) -> Column:
-    """A map without its null values; empty strings stay."""
-    return F.map_filter(values, lambda _, v: v.isNotNull())
+    """A map of JSON texts without its nulls and empty lists and objects; empty strings,
+    false and 0 stay."""
+    return F.map_filter(values, lambda _, v: v.isNotNull() & ~F.regexp_replace(v, r"\s", "").isin("null", "[]", "{}"))
 
 
 def duration_seconds(value: Column) -> Column:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 # Formats of personal data, in the order in which they are replaced.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-URL = r"https?://[^\s<>\"]+"
-GROUPED_ID = r"\b\d{4}[ -]\d{4}[ -]\d{4}\b"
-BARE_ID = r"\b\d{12}\b"
-PHONE = r"\+?\d[\d ()-]{8,}\d"
+URL = r"(?i)(?:https?://|www\.)\S+"
+GROUPED_ID = r"\b\d{4}[\s-]\d{4}[\s-]\d{4}\b"
+BARE_ID = r"(?<!\d)\d{12}(?!\d)"
+PASSPORT = r"\b[A-Z][0-9]{7}\b"
+KIN = ("sister", "brother", "mom", "mother", "dad", "father", "wife", "husband", "son", "daughter", "friend", "colleague", "aunt", "uncle")
 # Function words by language, for the guess.
 FUNCTION_WORDS = {
     "de": ("der", "die", "und", "den", "von", "zu", "das", "mit", "sich", "des"),
@@ -45,7 +46,7 @@ def normalize_space(text: Column) -> Column:
 def redact(text: Column) -> tuple[Column, Column]:
     """Text with e-mails, URLs and ids replaced, and how many there were."""
     out, count = text, F.lit(0)
-    for pattern, mark in ((EMAIL, "[EMAIL]"), (URL, "[URL]"), (GROUPED_ID, "[ID]"), (BARE_ID, "[ID]")):
+    for pattern, mark in ((EMAIL, "[EMAIL]"), (URL, "[URL]"), (GROUPED_ID, "[ID]"), (BARE_ID, "[ID]"), (PASSPORT, "[ID]")):
         count = count + F.regexp_count(out, F.lit(pattern))
         out = F.regexp_replace(out, pattern, mark)
     return out, count
@@ -53,10 +54,15 @@ def redact(text: Column) -> tuple[Column, Column]:
 
 def language_guess(text: Column) -> Column:
     """The language whose function words are met most often (ties by name); null if none is."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    count = lambda known: F.regexp_count(low, F.lit(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(known)})(?![\p{{L}}\p{{N}}])"))
-    scored = F.array_max(F.array(*[F.struct(count(FUNCTION_WORDS[lang]).alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang")) for i, lang in enumerate(sorted(FUNCTION_WORDS))]))
-    return F.when(scored["n"] > 0, scored["lang"])
+    every = "|".join(w for known in FUNCTION_WORDS.values() for w in known)
+    met = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(rf"(?<![\p{{L}}\p{{N}}])({every})(?![\p{{L}}\p{{N}}])"), F.lit(1))
+
+    def best(found: Column) -> Column:
+        count = lambda known: F.size(F.filter(found, lambda w: w.isin(*known)))
+        scored = [F.struct(count(FUNCTION_WORDS[lang]).alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang")) for i, lang in enumerate(sorted(FUNCTION_WORDS))]
+        return F.array_max(F.filter(F.array(*scored), lambda s: s["n"] > 0))["lang"]
+
+    return F.element_at(F.transform(F.array(met), best), 1)  # the text is searched once, the words met are few
 
 
 def eligibility(text: Column, language: Column, least_words: int, keyword: Column) -> Column:
@@ -72,19 +78,23 @@ def eligibility(text: Column, language: Column, least_words: int, keyword: Colum
 
 
 def normalize_cue(text: Column) -> Column:
-    """Lower-cased, without punctuation at the ends and leading articles."""
-    bare = F.trim(F.regexp_replace(F.translate(F.lower(text), "’‘`", "'''"), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-    return F.trim(F.regexp_replace(bare, r"^(?:(?:my|the|a|an|some|that|this)\s+)+", ""))
+    """Lower-cased, without punctuation at the ends and leading articles, however often
+    they alternate."""
+    plain = F.regexp_replace(F.translate(F.lower(F.coalesce(text, F.lit(""))), "’‘`“”", "'''\"\""), r"\s+", " ")
+    ends = r"[\s\"'.,;:!?()\[\]]"
+    return F.regexp_replace(F.regexp_replace(plain, rf"{ends}+$", ""), rf"^(?:{ends}+|(?:my|the|a|an|some|that|this)\s+)+", "")
 
 
 def spreadsheet_cell(value: Column, limit: int = 50_000) -> Column:
-    """Guarded against formulas, and cut."""
-    return F.substring(F.when(value.rlike(r"^[=+\-@\t\r]"), F.concat(F.lit("'"), value)).otherwise(value), 1, limit)
+    """Cut with a mark, and guarded against formulas; empty for null."""
+    own = F.coalesce(value.cast("string"), F.lit(""))
+    own = F.when(F.length(own) <= limit, own).otherwise(F.concat(F.rtrim(F.substring(own, 1, limit - len(" [truncated]") - 2)), F.lit(" [truncated]")))
+    return F.when(own.rlike(r"^[=+\-@\t\r]"), F.concat(F.lit("'"), own)).otherwise(own)
 
 
 def redact_names(text: Column) -> Column:
     """Names after words of kinship."""
-    return F.regexp_replace(text, r"\b([Mm]y|[Oo]ur) (wife|husband|son|daughter|mother|father|brother|sister|friend) [A-Z]\w+", "$1 $2 [name]")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), rf"\b([Mm]y|[Oo]ur)\s+({'|'.join(KIN)})\s+[A-Z][a-z]+\b", "$1 $2 [name]")
 
 
 def titleize(value: Column) -> Column:

@@ -41,18 +41,21 @@ def jaccard(a: Column, b: Column) -> Column:
 def exact_edges(items: DataFrame) -> DataFrame:
     """``a, b``: every item with the least one of its merge key (item_id, folded,
     n_words, author, source, external_id)."""
-    long = items.where(F.col("n_words") >= LONG).select("item_id", F.concat(F.lit("t:"), F.sha2("folded", 256)).alias("key"))
-    short = items.where((F.col("n_words") < LONG) & F.col("author").isNotNull() & (F.col("folded") != "")).select(
-        "item_id", F.concat_ws(":", F.lit("s"), F.sha2("folded", 256), F.col("author").cast("string"), "source").alias("key")
+    text, by_author = F.sha2("folded", 256), (F.col("n_words") < LONG) & F.col("author").isNotNull() & F.col("source").isNotNull() & (F.col("folded") != "")
+    keys = F.array(
+        F.when(F.col("n_words") >= LONG, F.concat(F.lit("t:"), text)),
+        F.when(by_author, F.concat_ws(":", F.lit("s"), text, F.col("author").cast("string"), "source")),
+        F.when(F.col("external_id").isNotNull(), F.concat(F.lit("x:"), F.col("external_id").cast("string"))),
     )
-    shared = items.where("external_id is not null").select("item_id", F.concat(F.lit("x:"), F.col("external_id").cast("string")).alias("key"))
-    keyed = long.union(short).union(shared)
+    keyed = items.select("item_id", F.explode(F.array_compact(keys)).alias("key"))
     least = keyed.groupBy("key").agg(F.min("item_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
     return keyed.join(least, "key").where("item_id != b").select(F.col("item_id").alias("a"), "b")
 
 
 def exact_groups(items: DataFrame, scratch: Scratch) -> DataFrame:
-    """``item_id, grp``: transitive closure of the exact merges, every item once."""
+    """``item_id, grp``: transitive closure of the exact merges, every item once. Texts
+    are read once, for their hashes."""
+    items = scratch.write(items.select("item_id", F.sha2("folded", 256).alias("hash"), F.when(F.col("folded") == "", "").otherwise(F.sha2("folded", 256)).alias("folded"), "n_words", "author", "source", "external_id"), "hashes")
     found = connected_components(exact_edges(items), scratch)
     met = items.select("item_id").join(found, F.col("item_id") == F.col("node"), "left")
     return met.select("item_id", F.coalesce("component", "item_id").alias("grp"))
@@ -66,9 +69,9 @@ def canonical_order() -> list[Column]:
 def canonical(items: DataFrame, groups: DataFrame) -> DataFrame:
     """``item_id, grp, canonical_id, is_canonical``. One aggregate finds the best of
     each group, so a large group is never sorted in one task."""
-    met = items.join(groups, "item_id")
+    met = items.select("item_id", F.length("text").alias("length"), "day").join(groups, "item_id")
     far = F.coalesce(F.col("day"), F.lit("9999-12-31").cast("date"))
-    best = met.groupBy("grp").agg(F.min(F.struct((-F.length("text")).alias("l"), far.alias("d"), F.col("item_id").alias("i"))).alias("best"))
+    best = met.groupBy("grp").agg(F.min(F.struct((-F.col("length")).alias("l"), far.alias("d"), F.col("item_id").alias("i"))).alias("best"))
     return met.join(best, "grp").select("item_id", "grp", F.col("best.i").alias("canonical_id"), (F.col("item_id") == F.col("best.i")).alias("is_canonical"))
 
 
@@ -157,9 +160,10 @@ def similar_counts(items: DataFrame) -> DataFrame:
     return short.join(sizes, "folded").select("item_id", "similar_count")
 
 
-def merge_sample(merges: DataFrame, each: int = 3) -> DataFrame:
-    """Merges for review, at most ``each`` of a canonical, dealt round-robin over reasons."""
+def merge_sample(merges: DataFrame, each: int = 3, most: int = 500) -> DataFrame:
+    """``most`` merges for review, at most ``each`` of a canonical, dealt round-robin over
+    reasons. No reason gives more than ``most``, so the last order is of a few rows."""
     own = merges.withColumn("n", F.row_number().over(Window.partitionBy("canonical_id").orderBy("item_id"))).where(F.col("n") <= each)
-    own = own.withColumn("turn", F.row_number().over(Window.partitionBy("reason").orderBy("canonical_id", "item_id")))
+    own = own.withColumn("turn", F.row_number().over(Window.partitionBy("reason").orderBy("canonical_id", "item_id"))).where(F.col("turn") <= most)
     ordinal = F.when(F.col("reason") == "near", 0).when(F.col("reason") == "exact", 1).otherwise(2)
-    return own.withColumn("place", F.row_number().over(Window.orderBy("turn", ordinal, "canonical_id", "item_id"))).select("place", "reason", "canonical_id", "item_id")
+    return own.withColumn("place", F.row_number().over(Window.orderBy("turn", ordinal, "canonical_id", "item_id"))).where(F.col("place") <= most).select("place", "reason", "canonical_id", "item_id")

@@ -23,8 +23,14 @@ def keep_margin(margin: Column, tau: float) -> Column:
 def audit_ids(rejected: DataFrame, rate: float, seed: str = "audit", key: str = "item_id") -> DataFrame:
     """round(n * rate) of the rejected ids, half to even, by a seeded order: a top-k,
     so only k rows of each partition are shuffled."""
-    k = round(rejected.count() * rate)
-    return rejected.select(key).orderBy(F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string"))), key).limit(k)
+    n = rejected.count()
+    k = round(n * rate)
+    order = F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string")))
+    # bins of the order are counted, so that no task holds more than one bin's ids
+    own = rejected.select(key, order.alias("_o")).withColumn("_bin", F.substring("_o", 1, 4))
+    bins = own.groupBy("_bin").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_bin").orderBy("_o", key))
+    return own.join(bins.where(F.col("_before") < k), "_bin").withColumn("_place", place).where(F.col("_place") <= k).select(key)
 
 
 def enforce_scope(label: Column, excluded_topic: Column, blocks: Column) -> Column:

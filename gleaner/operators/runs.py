@@ -74,8 +74,9 @@ def robots_allow(text: str, agent: str, path: str) -> bool:
             for n in names:
                 if value:
                     groups[n].append((key == "allow", value))
-    own = next((r for n, r in groups.items() if n != "*" and n in agent.lower()), groups.get("*", []))
-    fits = [(len(p), allow) for allow, p in own if re.match(re.escape(p).replace(r"\*", ".*").replace(r"\$", "$"), path)]
+    named = max((n for n in groups if n != "*" and n in agent.lower()), key=len, default="*")
+    shape = lambda p: re.escape(p.removesuffix("$")).replace(r"\*", ".*") + ("$" if p.endswith("$") else "")
+    fits = [(len(p), allow) for allow, p in groups.get(named, []) if re.match(shape(p), path)]
     return max(fits)[1] if fits else True
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.scratch import Scratch
+
 DIMENSIONS = ("frequency", "severity", "strategic_fit", "evidence_quality", "product_leverage", "research_value")
 WEIGHTS = {"frequency": 0.2, "severity": 0.2, "strategic_fit": 0.2, "evidence_quality": 0.2, "product_leverage": 0.1, "research_value": 0.1}
 HIGH, MEDIUM = 3.8, 3.0
@@ -18,16 +20,22 @@ THRESHOLDS = (0.02, 0.05, 0.1, 0.2)
 QUANTILE_AREAS = 5
 
 
+def two(x: Column) -> Column:
+    """Two decimals, half to even on the binary value, as scores are kept and shown."""
+    return F.rint(x * 100) / 100
+
+
 def clamp(x: Column) -> Column:
-    """Into 1..5."""
-    return F.least(F.lit(5.0), F.greatest(F.lit(1.0), x))
+    """Into 1..5, with two decimals."""
+    return two(F.least(F.lit(5.0), F.greatest(F.lit(1.0), x)))
 
 
 def cap_by_day(items: DataFrame, fraction: float = DAY_FRACTION, by: str = "area_id") -> DataFrame:
     """At most max(1, floor(fraction * n)) items of an area per day, the first by
     item_id, n counting all of the area's items; undated ones stay. Rows get
     ``day_limit`` and ``kept``."""
-    sized = items.withColumn("day_limit", F.greatest(F.lit(1), F.floor(F.count("*").over(Window.partitionBy(by)) * F.lit(fraction))))
+    size = items.groupBy(F.col(by).alias("_by")).agg(F.greatest(F.lit(1), F.floor(F.count("*") * F.lit(fraction))).alias("day_limit"))
+    sized = items.join(size, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
     place = F.row_number().over(Window.partitionBy(by, "day").orderBy("item_id"))
     return sized.withColumn("kept", F.col("day").isNull() | (place <= F.col("day_limit")))
 
@@ -117,7 +125,7 @@ def normalize_weights(weights: dict[str, float]) -> dict[str, float]:
 
 
 def composite(weights: dict[str, float]) -> Column:
-    return F.round(sum((F.lit(w) * F.round(F.col(k), 6) for k, w in normalize_weights(weights).items()), F.lit(0.0)), 6)
+    return two(sum((F.lit(w) * F.col(k) for k, w in normalize_weights(weights).items()), F.lit(0.0)))
 
 
 def band(score: Column) -> Column:
@@ -129,11 +137,13 @@ def low_evidence(items: Column, quality: Column) -> Column:
 
 
 def area_scores(items: DataFrame) -> DataFrame:
-    """All six dimensions of each area, 6 decimals, with its number of items."""
+    """All six dimensions of each area, two decimals, with its number of items. The
+    items are written once and read by each dimension."""
+    items = Scratch(items.sparkSession, "scores").write(items, "items")
     met = frequency(items.where("retrieval_type = 'vague'"))
     for part in (severity(items).select("area_id", "severity"), strategic_fit(items).select("area_id", "strategic_fit"), evidence_quality(items).select("area_id", "evidence_quality", "n_items"), rubric(items)):
         met = met.join(part, "area_id")
-    return met.select("area_id", "n_items", *[F.round(d, 6).alias(d) for d in DIMENSIONS])
+    return met.select("area_id", "n_items", *[two(F.col(d)).alias(d) for d in DIMENSIONS])
 
 
 def rank_areas(scores: DataFrame, weights: dict[str, float], then: tuple[Column, ...] | None = None) -> DataFrame:
@@ -155,7 +165,7 @@ def sensitivity(scores: DataFrame, weights: dict[str, float], shift: float = 0.2
             own = normalize_weights(weights | {name: weights[name] * (1 + sign * shift)})
             rows.append((f"{name}{'+' if sign > 0 else '-'}", *(own[d] for d in DIMENSIONS)))
     scenarios = spark.createDataFrame(rows, ["scenario", *(f"w_{d}" for d in DIMENSIONS)])
-    total = F.round(sum((F.col(f"w_{d}") * F.col(d) for d in DIMENSIONS), F.lit(0.0)), 6)
+    total = two(sum((F.col(f"w_{d}") * F.col(d) for d in DIMENSIONS), F.lit(0.0)))
     met = scores.join(F.broadcast(scenarios)).withColumn("composite", total)
     order = Window.partitionBy("scenario").orderBy(low_evidence(F.col("n_items"), F.col("evidence_quality")), F.desc("composite"), F.desc("evidence_quality"), F.desc("n_items"), "area_id")
     top = met.withColumn("place", F.row_number().over(order)).where("place <= 3")

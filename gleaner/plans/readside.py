@@ -12,6 +12,7 @@ from gleaner.operators import scoring as s
 from gleaner.plans.domain import EV, OV, evidence, overrides
 from gleaner.plans.registry import query
 from gleaner.plans.scoring import _SCORES
+from gleaner.scratch import Scratch
 from gleaner.session import table
 
 _W = f"WITH {EV}"
@@ -28,13 +29,10 @@ def source_trend(spark, sf_dir):
 @query("source_trend_dense", f"""{_W}, t AS (SELECT strftime(day, '%Y-%m') AS month, source, count(*) AS n FROM ev WHERE NOT is_spam AND day IS NOT NULL GROUP BY 1, 2)
   SELECT m.month, s.source, coalesce(t.n, 0) AS n FROM (SELECT DISTINCT month FROM t) m CROSS JOIN (SELECT DISTINCT source FROM t) s LEFT JOIN t ON t.month = m.month AND t.source = s.source""")
 def source_trend_dense(spark, sf_dir):
-    """Month by source with zeros, through a pivot and back."""
-    trend = source_trend(spark, sf_dir)
-    names = sorted(r["source"] for r in trend.select("source").distinct().collect())
-    if not names:
-        return trend
-    wide = trend.groupBy("month").pivot("source", names).sum("n").fillna(0)
-    return wide.unpivot(["month"], names, "source", "n")
+    """Month by source with zeros: the grid of both, and what is there."""
+    trend = Scratch(spark, "trend").write(source_trend(spark, sf_dir), "trend")
+    grid = trend.select("month").distinct().join(trend.select("source").distinct())  # months by sources: the rows of a chart
+    return grid.join(trend, ["month", "source"], "left").fillna(0, ["n"])
 
 
 @query("overview_funnel", f"""{_W} SELECT (SELECT count(*) FROM orders) AS raw, count(*) AS items, count_if(NOT is_spam)::BIGINT AS ready,

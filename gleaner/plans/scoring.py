@@ -19,11 +19,11 @@ grid AS (SELECT a.area_id, c.source, c.n_source, coalesce(o.n, 0) AS n FROM (SEL
   LEFT JOIN own o ON o.area_id = a.area_id AND o.source = c.source)"""
 _SEV = """, sv AS (SELECT area_id, coalesce(sum(CASE WHEN frustration > 0 THEN frustration END) / count(CASE WHEN frustration > 0 THEN 1 END), 0.0) AS intensity,
   count_if(high_stakes) / count(*) AS stakes, count_if(rating <= 2) / nullif(count(rating), 0) AS low_share FROM it GROUP BY 1),
-svs AS (SELECT *, least(5.0, greatest(1.0, CASE WHEN low_share IS NULL THEN 0.625 * intensity + 0.375 * 5 * stakes ELSE 0.5 * intensity + 0.3 * 5 * stakes + 0.2 * 5 * low_share END)) AS severity FROM sv)"""
+svs AS (SELECT *, round_even(least(5.0, greatest(1.0, CASE WHEN low_share IS NULL THEN 0.625::DOUBLE * intensity + 0.375::DOUBLE * 5 * stakes ELSE 0.5::DOUBLE * intensity + 0.3::DOUBLE * 5 * stakes + 0.2::DOUBLE * 5 * low_share END)) * 100, 0) / 100 AS severity FROM sv)"""
 _FIT = """, fitr AS (SELECT area_id, sum(relevance10) / (10 * count(*)) AS relevance, count_if(retrieval_type = 'vague') / count(*) AS vague_share FROM it GROUP BY 1),
-fit AS (SELECT *, least(5.0, greatest(1.0, 5 * relevance * vague_share)) AS strategic_fit FROM fitr)"""
+fit AS (SELECT *, round_even(least(5.0, greatest(1.0, 5 * relevance * vague_share)) * 100, 0) / 100 AS strategic_fit FROM fitr)"""
 _EQ = """, eqr AS (SELECT area_id, avg(strength) AS mean_strength, count(DISTINCT platform) AS platforms, count(*) AS n_items FROM it GROUP BY 1),
-eq AS (SELECT *, least(5.0, greatest(1.0, 0.4 * mean_strength + 0.3 * 5 * least(platforms, 4) / 4 + 0.3 * 5 * CASE WHEN n_items < 2 THEN 0.0 ELSE least(1.0, ln(n_items) / ln(50.0)) END)) AS evidence_quality FROM eqr)"""
+eq AS (SELECT *, round_even(least(5.0, greatest(1.0, 0.4::DOUBLE * mean_strength + 0.3::DOUBLE * 5 * least(platforms, 4) / 4 + 0.3::DOUBLE * 5 * CASE WHEN n_items < 2 THEN 0.0 ELSE least(1.0, ln(n_items) / ln(50.0)) END)) * 100, 0) / 100 AS evidence_quality FROM eqr)"""
 _ENG = """, eng AS (SELECT area_id, 1 + 0.15 * avg(ln(1 + least(quantity, 200)) / ln(201.0)) AS factor FROM vg GROUP BY 1)"""
 _FREQ = _ENG + """, shr AS (SELECT area_id, avg(n / n_source) AS balanced, sum(n) AS n_capped FROM grid GROUP BY 1),
 adj AS (SELECT shr.area_id, round((0.5 * n_capped / sum(n_capped) OVER () + 0.5 * balanced) * factor, 9) AS adjusted FROM shr JOIN eng USING (area_id)),
@@ -31,16 +31,16 @@ frq AS (SELECT area_id, adjusted, CASE WHEN count(*) OVER () = 1 THEN 3.0 WHEN c
     1 + 4 * (rank() OVER (ORDER BY adjusted) - 1 + (count(*) OVER (PARTITION BY adjusted) - 1) / 2) / (count(*) OVER () - 1)
     ELSE 1.0 + (adjusted >= 0.02)::INT + (adjusted >= 0.05)::INT + (adjusted >= 0.1)::INT + (adjusted >= 0.2)::INT END AS frequency FROM adj)"""
 _RUB = """, rb AS (SELECT area_id, CASE WHEN count(DISTINCT category) >= 8 THEN 4.0 WHEN count(DISTINCT category) >= 4 THEN 3.0 ELSE 2.0 END AS product_leverage,
-  least(5.0, greatest(1.0, 1 + 4 * count_if(retrieval_type = 'vague') / count(*))) AS research_value FROM it GROUP BY 1)"""
-_SCORES = _SHARE + _SEV + _FIT + _EQ + _FREQ + _RUB + """, sc AS (SELECT area_id, n_items, round(frequency, 6)::DOUBLE AS frequency, round(severity, 6)::DOUBLE AS severity, round(strategic_fit, 6)::DOUBLE AS strategic_fit,
-  round(evidence_quality, 6)::DOUBLE AS evidence_quality, product_leverage::DOUBLE AS product_leverage, round(research_value, 6)::DOUBLE AS research_value
+  round_even(least(5.0, greatest(1.0, 1 + 4 * (count_if(retrieval_type = 'vague') / count(*)))) * 100, 0) / 100 AS research_value FROM it GROUP BY 1)"""
+_SCORES = _SHARE + _SEV + _FIT + _EQ + _FREQ + _RUB + """, sc AS (SELECT area_id, n_items, (round_even(frequency::DOUBLE * 100, 0) / 100)::DOUBLE AS frequency, severity::DOUBLE AS severity, strategic_fit::DOUBLE AS strategic_fit,
+  evidence_quality::DOUBLE AS evidence_quality, product_leverage::DOUBLE AS product_leverage, research_value::DOUBLE AS research_value
   FROM frq JOIN svs USING (area_id) JOIN fit USING (area_id) JOIN eq USING (area_id) JOIN rb USING (area_id))"""
 
 
 def _ranked(ties: str, weights: tuple[float, ...] = (0.2, 0.2, 0.2, 0.2, 0.1, 0.1)) -> str:
     w = dict(zip(s.DIMENSIONS, weights, strict=True))
     total = " + ".join(f"{v}::DOUBLE * {k}" for k, v in w.items())
-    return f"WITH {_SCORES}, cp AS (SELECT *, round({total}, 6) AS composite, (n_items < 10 OR evidence_quality < 2.5) AS low_evidence FROM sc) SELECT area_id, n_items, {', '.join(s.DIMENSIONS)}, composite, CASE WHEN composite >= 3.8 THEN 'High' WHEN composite >= 3.0 THEN 'Medium' ELSE 'Low' END AS band, low_evidence, row_number() OVER (ORDER BY low_evidence, composite DESC, {ties})::INT AS rank FROM cp"
+    return f"WITH {_SCORES}, cp AS (SELECT *, round_even(({total}) * 100, 0) / 100 AS composite, (n_items < 10 OR evidence_quality < 2.5) AS low_evidence FROM sc) SELECT area_id, n_items, {', '.join(s.DIMENSIONS)}, composite, CASE WHEN composite >= 3.8 THEN 'High' WHEN composite >= 3.0 THEN 'Medium' ELSE 'Low' END AS band, low_evidence, row_number() OVER (ORDER BY low_evidence, composite DESC, {ties})::INT AS rank FROM cp"
 
 
 def _items(spark, sf_dir):
@@ -117,7 +117,7 @@ def _sensitivity_sql() -> str:
     names = ", ".join(f"w_{d}" for d in s.DIMENSIONS)
     total = " + ".join(f"w_{d} * {d}" for d in s.DIMENSIONS)
     return f"""WITH {_SCORES}, wt(scenario, {names}) AS (VALUES {', '.join(rows)}),
-    p AS (SELECT scenario, area_id, row_number() OVER (PARTITION BY scenario ORDER BY (n_items < 10 OR evidence_quality < 2.5), round({total}, 6) DESC, evidence_quality DESC, n_items DESC, area_id) AS place FROM sc, wt)
+    p AS (SELECT scenario, area_id, row_number() OVER (PARTITION BY scenario ORDER BY (n_items < 10 OR evidence_quality < 2.5), round_even(({total}) * 100, 0) / 100 DESC, evidence_quality DESC, n_items DESC, area_id) AS place FROM sc, wt)
     SELECT scenario, string_agg(area_id, ',' ORDER BY place) AS top3 FROM p WHERE place <= 3 GROUP BY 1"""
 
 

@@ -34,11 +34,11 @@ def normalize_dedup(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(folded).alias("h"), n.alias("n"))
 
 
-@query("pii_counts", r"""SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS n_emails, len(regexp_extract_all(text, 'https?://[^\s<>"]+')) AS n_urls,
-  len(regexp_extract_all(text, '\b\d{4}[ -]\d{4}[ -]\d{4}\b')) + len(regexp_extract_all(text, '\b\d{12}\b')) AS n_ids FROM documents""")
+@query("pii_counts", r"""SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS n_emails, len(regexp_extract_all(text, '(?i)(?:https?://|www\.)\S+')) AS n_urls,
+  len(regexp_extract_all(text, '\b\d{4}[\s-]\d{4}[\s-]\d{4}\b')) + len(regexp_extract_all(regexp_replace(text, '\d{13,}', ' ', 'g'), '\d{12}')) + len(regexp_extract_all(text, '\b[A-Z][0-9]{7}\b')) AS n_ids FROM documents""")
 def pii_counts(spark, sf_dir):
     count = lambda p: F.regexp_count("text", F.lit(p)).cast("long")
-    return table(spark, sf_dir, "documents").select("doc_id", count(text.EMAIL).alias("n_emails"), count(text.URL).alias("n_urls"), (count(text.GROUPED_ID) + count(text.BARE_ID)).alias("n_ids"))
+    return table(spark, sf_dir, "documents").select("doc_id", count(text.EMAIL).alias("n_emails"), count(text.URL).alias("n_urls"), (count(text.GROUPED_ID) + count(text.BARE_ID) + count(text.PASSPORT)).alias("n_ids"))
 
 
 _PHRASES = ["the", "of that", "idiot", "worthless"]

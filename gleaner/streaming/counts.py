@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +26,26 @@ def last_write_wins(events: DataFrame, key: str) -> DataFrame:
 
 def daily_counts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the stream over what is there, and return what it wrote."""
-    name = f"daily_{uuid.uuid4().hex[:8]}"
-    at = Scratch(spark, "stream")
-    writer = daily_counts(event_stream(spark, sf_dir)).writeStream.outputMode("complete").format("memory").queryName(name)
-    stream = writer.option("checkpointLocation", at.place("checkpoint")).trigger(availableNow=True).start()
-    stream.awaitTermination()
-    return spark.table(name)
+    return run_once(spark, daily_counts(event_stream(spark, sf_dir)), ["day", "event_type"], "complete")
+
+
+def run_once(spark: SparkSession, stream: DataFrame, key: list[str], mode: str) -> DataFrame:
+    """Run a stream over what is there; every batch is written as Parquet, and of rows
+    that several batches have for a key that of the last one counts."""
+    at, path = Scratch(spark, "stream"), None
+    path = at.place("out")
+    schema = stream.schema
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", at.place("checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    written = spark.read.schema(schema.add("_batch", "long")).option("recursiveFileLookup", "true").parquet(path)
+    last = written.groupBy(*key).agg(F.max_by(F.struct(*[c for c in schema.names if c not in (*key, "_batch")]), "_batch").alias("_last"))
+    return last.select(*key, "_last.*")
+
+
+def last_events(events: DataFrame, key: str) -> DataFrame:
+    """The last write of each key so far: a streaming aggregate by event time and id."""
+    return events.groupBy(key).agg(F.max(F.struct("ts", "event_id")).alias("_m")).select(key, F.col("_m.event_id").alias("event_id"))
