@@ -10,27 +10,43 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TAG, _QUOTE = re.compile(r"<[^>\n]{1,400}>"), re.compile(r"^\s*>.*$", re.M)
-_IMAGE, _LINK = re.compile(r"!\[[^\]]*\]\([^)]*\)"), re.compile(r"\[([^\]]*)\]\([^)]*\)")
-_MARKS = re.compile(r"(\*\*|__|~~|`{1,3}|^#{1,6}\s)", re.M)
+_TAG, _QUOTE = re.compile(r"<[^>]+>"), re.compile(r"\s*>")
+_IMAGE, _LINK = re.compile(r"!\[([^\]]*)\]\([^)]*\)"), re.compile(r"\[([^\]]+)\]\([^)]*\)")
+# markdown that gives way to what it marks, in this order
+_MARKS = (re.compile(r"(\*\*|__)(?P<own>.+?)\1", re.S), re.compile(r"(?<!\*)\*(?!\*)(?P<own>.+?)(?<!\*)\*(?!\*)"), re.compile(r"(?<!_)_(?!_)(?P<own>.+?)(?<!_)_(?!_)"), re.compile(r"`(?P<own>[^`]*)`"))
+_HEADING = re.compile(r"^#{1,6}\s*", re.M)
+# The blocks that count as emoji, with the selector and the joiner.
+_EMOJI = re.compile("[\U0001f300-\U0001faff\u2600-\u27bf\U0001f1e6-\U0001f1ff\u2190-\u21ff\u2b00-\u2bff\ufe0f\u200d]+")
 _PHONE = re.compile(r"(?<!\d)\+?\d[\d\s().-]{8,20}\d(?!\d)")
 
 
-def strip_markup(text: str) -> str:
-    """NFKC, entities and tags, quoted lines, markdown."""
-    text = _QUOTE.sub(" ", html.unescape(unicodedata.normalize("NFKC", text)))
-    text = _MARKS.sub("", _LINK.sub(r"\1", _IMAGE.sub(" ", text)))
-    return re.sub(r"[ \t]+", " ", _TAG.sub(" ", text)).strip()
+def without_links(text: str) -> str:
+    """Without the markdown images and links, their words too."""
+    return _LINK.sub("", _IMAGE.sub("", text))
 
 
-def is_emoji(c: str) -> bool:
-    return ord(c) > 0x2000 and unicodedata.category(c) in ("So", "Sk")
+def strip_markup(text: str) -> str:
+    """NFKC, entities, quoted lines, markdown and tags; what is marked stays."""
+    lines = html.unescape(unicodedata.normalize("NFKC", text)).splitlines()
+    text = "\n".join(x for x in lines if not _QUOTE.match(x))
+    text = _TAG.sub(" ", _LINK.sub(r"\1", _IMAGE.sub(r"\1", text)))
+    for mark in _MARKS:
+        text = mark.sub(lambda m: m["own"], text)
+    return _HEADING.sub("", text)
 
 
 def name_emoji(text: str) -> str:
     """Emoji as their Unicode names; selectors and joiners go."""
-    out = (f" {unicodedata.name(c, '').lower()} " if is_emoji(c) else "" if c in "️‍" else c for c in text)
-    return re.sub(r" +", " ", "".join(out)).strip()
+
+    def names(m: re.Match[str]) -> str:
+        own = [unicodedata.name(c, "").lower() for c in m[0] if unicodedata.category(c)[0] not in "CM"]
+        return f" {' '.join(filter(None, own))} " if any(own) else " "
+
+    return _EMOJI.sub(names, text)
+
+
+def without_emoji(text: str) -> str:
+    return _EMOJI.sub(" ", text)
 
 
 def looks_like_phone(found: str) -> bool:

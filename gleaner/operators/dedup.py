@@ -167,3 +167,63 @@ def merge_sample(merges: DataFrame, each: int = 3, most: int = 500) -> DataFrame
     own = own.withColumn("turn", F.row_number().over(Window.partitionBy("reason").orderBy("canonical_id", "item_id"))).where(F.col("turn") <= most)
     ordinal = F.when(F.col("reason") == "near", 0).when(F.col("reason") == "exact", 1).otherwise(2)
     return own.withColumn("place", F.row_number().over(Window.orderBy("turn", ordinal, "canonical_id", "item_id"))).where(F.col("place") <= most).select("place", "reason", "canonical_id", "item_id")
+
+
+def merge_reasons(items: DataFrame, merged: DataFrame) -> DataFrame:
+    """``item_id, canonical_id, reason`` of the items that exact merges drop: review_id
+    where both have the same external id, exact where their texts agree, and review_id
+    for those that only a chain of merges brought together."""
+    of = items.select("item_id", F.sha2("folded", 256).alias("h"), "external_id")
+    gone = merged.where("not is_canonical").select("item_id", "canonical_id").join(of, "item_id")
+    kept = of.select(F.col("item_id").alias("canonical_id"), F.col("h").alias("ch"), F.col("external_id").alias("cx"))
+    shared = F.coalesce(F.col("external_id") == F.col("cx"), F.lit(False))
+    reason = F.when(shared, "review_id").when(F.col("h") == F.col("ch"), "exact").otherwise("review_id")
+    return gone.join(kept, "canonical_id").select("item_id", "canonical_id", reason.alias("reason"))
+
+
+def deduplicate(items: DataFrame, scratch: Scratch, threshold: float = JACCARD, authors: int = SPAM_AUTHORS) -> DataFrame:
+    """``item_id, canonical_id, reason, similarity, earliest, is_spam, similar_count`` of
+    every item (item_id, text, folded, words, n_words, author, source, external_id, day,
+    has_keyword): canonical_id is the survivor it ends in after all merges (its own id
+    for survivors, whose reason is null), earliest the first day of those merged into a
+    survivor, is_spam and similar_count are of survivors."""
+    slim = scratch.write(items.select("item_id", F.length("text").alias("length"), "folded", "n_words", "author", "source", "external_id", "day", "has_keyword"), "items")
+    groups = scratch.write(exact_groups(slim, scratch), "groups")
+    far = F.coalesce(F.col("day"), F.lit("9999-12-31").cast("date"))
+    order = F.struct((-F.col("length")).alias("l"), far.alias("d"), F.col("item_id").alias("i"))
+    met = slim.join(groups, "item_id")
+    best = met.groupBy("grp").agg(F.min(order).alias("best"), F.count("*").alias("n"))
+    merged = scratch.write(met.join(best, "grp").select("item_id", F.col("best.i").alias("canonical_id"), (F.col("item_id") == F.col("best.i")).alias("is_canonical")), "merged")
+    exact = scratch.write(merge_reasons(slim, merged), "reasons")
+    active = merged.where("is_canonical").select("item_id")
+    long = items.where(F.col("n_words") >= LONG).join(active, "item_id", "left_semi")
+    pairs = scratch.write(near_pairs(long, scratch, threshold), "pairs")
+    stars = star_merge(pairs, slim.select("item_id", order.alias("place")), scratch)
+    found = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity")
+    stars = scratch.write(stars.join(found, (F.least("item_id", "canonical_id") == F.col("a")) & (F.greatest("item_id", "canonical_id") == F.col("b"))).select("item_id", "canonical_id", "similarity"), "stars")
+    then = stars.select(F.col("item_id").alias("_i"), F.col("canonical_id").alias("_c"))
+    first = exact.join(then, F.col("canonical_id") == F.col("_i"), "left").select("item_id", F.coalesce("_c", "canonical_id").alias("canonical_id"), "reason", F.lit(None).cast("double").alias("similarity"))
+    gone = scratch.write(first.unionByName(stars.select("item_id", "canonical_id", F.lit("near").alias("reason"), "similarity")), "gone")
+    ends = slim.select("item_id", "day", "source", "folded", "n_words", "author", "has_keyword").join(gone, "item_id", "left").withColumn("canonical_id", F.coalesce("canonical_id", "item_id"))
+    ends = scratch.write(ends, "ends")
+    earliest = ends.groupBy("canonical_id").agg(F.min("day").alias("earliest"))
+    spam = spam_texts(ends.where("not has_keyword"), authors).select("folded", F.lit(True).alias("spam"))
+    alone = similar_counts(ends.where("reason is null")).select(F.col("item_id").alias("_s"), "similar_count")
+    out = ends.join(earliest, "canonical_id").join(spam, "folded", "left").join(alone, F.col("item_id") == F.col("_s"), "left")
+    survives = F.col("reason").isNull()
+    return out.select(
+        "item_id", "canonical_id", "reason", "similarity", "earliest", "source",
+        (survives & F.coalesce("spam", F.lit(False)) & ~F.col("has_keyword")).alias("is_spam"), F.when(survives, F.coalesce("similar_count", F.lit(0))).alias("similar_count"),
+    )
+
+
+def statistics(outcome: DataFrame) -> DataFrame:
+    """One row: what was merged by reason and across sources, spam, and what remains."""
+    kept = outcome.select(F.col("item_id").alias("_c"), F.col("source").alias("_source"))
+    met = outcome.join(kept, F.col("canonical_id") == F.col("_c"))
+    by = lambda reason: F.count_if(F.col("reason") == reason)
+    return met.agg(
+        by("exact").alias("exact_merged"), by("near").alias("near_merged"), by("review_id").alias("review_id_merged"),
+        F.count_if(F.col("reason").isNotNull() & ~F.col("source").eqNullSafe(F.col("_source"))).alias("cross_source_merged"),
+        F.count_if("is_spam").alias("spam"), F.count_if(F.col("similar_count") > 0).alias("short_kept_separate"), F.count_if(F.col("reason").isNull()).alias("remaining"),
+    )

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.functions import python_text, scalars, text
+from gleaner.functions import cleaning, python_text, scalars, text
 from gleaner.operators import areas, dedup, filters, scoring, tables, vectors
 from gleaner.operators.components import connected_components
 from gleaner.scratch import Scratch
@@ -62,7 +62,8 @@ def test_small_functions(spark):
 
 
 def test_python_text():
-    assert python_text.strip_markup("<b>Hi</b> &amp; **bold**\n> quoted\n[t](u)") == "Hi & bold\n \nt".replace("\n \n", "\n \n")
+    assert python_text.strip_markup("<b>Hi</b> &amp; **bold** _em_ `code`\n> quoted\n# [t](u) ![alt](v)") == " Hi  & bold em code\nt alt"
+    assert python_text.name_emoji("so 😀\ufe0f!").split() == ["so", "grinning", "face", "!"]
     assert python_text.redact_phones("call +1 (269) 555-3296 v 2024.10.11.12 on 2024-01-01, id 123456789012") == ("call [PHONE] v 2024.10.11.12 on 2024-01-01, id 123456789012", 1)
     assert python_text.indel_ratio("kitten", "sitting") == pytest.approx(200 * 4 / 13)
     body = "I looked for “that photo” of my dog   at the beach for an hour."
@@ -148,3 +149,66 @@ def test_sheet_and_feed(spark, tmp_path):
 
 def test_dates_are_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC" and datetime(2024, 1, 1)
+
+
+def test_clean_records(spark):
+    rules = cleaning.Rules(keywords=("can't find",), least_words=4, most_chars=60, head_chars=30, boilerplate=True)
+    record = lambda x: dict(zip([f.split()[0] for f in cleaning.FIELDS.split(", ")], cleaning.record(x, rules, cleaning._phrases(rules.keywords)), strict=True))
+    page = record("Menu\nSign in\n[home](x) | go\nI could not see where my photo of Rome went, see www.x.y and a@b.co")
+    assert page["clean_text"].startswith("I could not see") and page["n_redacted"] == 2 and page["language"] == "en" and page["eligible"] and page["truncated"]
+    rules = cleaning.Rules(keywords=("can't find",), least_words=4)
+    assert record("😀 😀")["exclude_reason"] == "emoji_only" and record(None)["exclude_reason"] == "emoji_only" and record("hm hm")["exclude_reason"] == "min_words"
+    assert record("I can’t find") | {"word_count": 3} == record("I can’t find") and record("I can’t find")["eligible"]
+    assert record("mujhe nahi mila yaar photo wala album")["language"] == "code_mixed" and record("Привет как дела друзья")["exclude_reason"] == "language"
+    assert record("der Hund und die Katze sind mit von der Partie und das ist gut")["language"] == "de"
+    long = cleaning.shortened("First words of it here. " + "Noise. " * 9 + "I can't find it. More noise.", 20, 60, cleaning._phrases(rules.keywords))
+    assert long == "First words of it\nI can't find it."
+    df = spark.createDataFrame([(None,), ("Call +1 269 555 3296 or passport A1234567 now please",)], "t string")
+    got = [r["r"] for r in df.select(cleaning.clean_record(F.col("t"), cleaning.Rules()).alias("r")).collect()]
+    assert got[0]["exclude_reason"] == "emoji_only" and got[1]["clean_text"] == "Call [PHONE] or passport [ID] now please" and got[1]["n_redacted"] == 2
+
+
+def test_whole_deduplication_equals_the_sequential_one(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(80):
+        base = [words[k] for k in np.random.default_rng(int(rng.integers(0, 12))).integers(0, 60, 30)]
+        if rng.random() < 0.5:
+            base[int(rng.integers(0, 30))] = f"e{i}"
+        own = " ".join(base) if rng.random() < 0.7 else f"short {int(rng.integers(0, 4))}"
+        rows.append((i, own, own, own.split(), len(own.split()), int(rng.integers(0, 9)) if rng.random() < 0.8 else None, f"s{int(rng.integers(0, 2))}", int(rng.integers(0, 30)) if rng.random() < 0.2 else None, datetime(2024, 1, 1 + int(rng.integers(0, 28))).date() if rng.random() < 0.9 else None, False))
+    df = spark.createDataFrame(rows, "item_id long, text string, folded string, words array<string>, n_words long, author long, source string, external_id long, day date, has_keyword boolean")
+    got = {r["item_id"]: r for r in dedup.deduplicate(df, Scratch(spark, "t"), authors=3).collect()}
+    by = {r[0]: r for r in rows}
+    label = {i: i for i in by}
+    keys = {}
+    for r in rows:
+        own = ([("t", r[2])] if r[4] >= 12 else [("s", r[2], r[5], r[6])] if r[5] is not None else []) + ([("x", r[7])] if r[7] is not None else [])
+        for k in own:
+            keys.setdefault(k, []).append(r[0])
+    for group in keys.values():
+        for i in group:
+            low, high = sorted((label[i], label[group[0]]))
+            label = {k: low if v == high else v for k, v in label.items()}
+    drop = {}
+    for g in set(label.values()):
+        members = sorted((i for i in by if label[i] == g), key=lambda i: (-len(by[i][1]), str(by[i][8] or "9999"), i))
+        drop |= {i: members[0] for i in members[1:]}
+    sets = {i: {tuple(by[i][3][k : k + 5]) for k in range(len(by[i][3]) - 4)} for i in by if by[i][4] >= 12 and i not in drop}
+    near, taken = {}, set()
+    ranked = sorted(sets, key=lambda i: (-len(by[i][1]), str(by[i][8] or "9999"), i))
+    for n, i in enumerate(ranked):
+        if i in taken:
+            continue
+        for j in ranked[n + 1 :]:
+            if j not in taken and len(sets[i] & sets[j]) >= 0.85 * len(sets[i] | sets[j]):
+                near[j] = i
+                taken.add(j)
+    end = {i: near.get(drop.get(i, i), drop.get(i, near.get(i, i))) for i in by}
+    assert {i: r["canonical_id"] for i, r in got.items()} == end
+    assert {i for i, r in got.items() if r["reason"] is None} == set(by) - set(drop) - set(near)
+    first = {c: min((by[i][8] for i in by if end[i] == c and by[i][8]), default=None) for c in set(end.values())}
+    assert all(r["earliest"] == first[r["canonical_id"]] for r in got.values())
+    stats = dedup.statistics(dedup.deduplicate(df, Scratch(spark, "t"), authors=3)).head()
+    assert stats["remaining"] == len(set(end.values())) and stats["near_merged"] == len(near) and stats["exact_merged"] + stats["review_id_merged"] == len(drop)
