@@ -5,6 +5,7 @@ the engine's own, and an empty correction clears it back."""
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, fields
 from datetime import date
 
@@ -31,6 +32,16 @@ class Filters:
     def summary(self) -> str:
         return "; ".join(f"{f.name}={getattr(self, f.name)}" for f in fields(self) if getattr(self, f.name) != f.default) or "all items"
 
+    def key(self) -> str:
+        """The filters as text, the same for equal ones."""
+        return json.dumps({f.name: getattr(self, f.name) for f in fields(self)}, default=str, sort_keys=True)
+
+    @classmethod
+    def from_key(cls, key: str) -> Filters:
+        own = json.loads(key)
+        dates = {k: date.fromisoformat(own[k]) for k in ("since", "until") if own.get(k)}
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in own.items()} | dates)
+
     def items(self) -> Column:
         """Facets of an item. A null fails every facet but that of ratings, which
         unrated items pass while they are included."""

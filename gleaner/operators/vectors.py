@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EXEMPLARS = 1000
+EXEMPLARS, PRIOR = 1000, 10_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -18,6 +18,11 @@ def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
+def unit(a: Column) -> Column:
+    """Of length 1, or as it is where its length is almost 0."""
+    return F.transform(F.array(F.struct(a.alias("v"), norm(a).alias("n"))), lambda x: F.transform(x["v"], lambda y: y.cast("double") / F.greatest(x["n"], F.lit(1e-12))))[0]
+
+
 def cosine(a: Column, b: Column) -> Column:
     """0 where a norm is 0."""
     size = norm(a) * norm(b)
@@ -35,8 +40,10 @@ def centroids(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def nearest_prior(new: DataFrame, prior: DataFrame, threshold: float) -> DataFrame:
-    """The best prior centroid of each new one, if near enough: cluster tables are
-    small, and the prior side is broadcast."""
+    """The best prior centroid of each new one, if near enough. Prior clusters are a
+    list of at most PRIOR, which is broadcast; more are refused."""
+    if prior.limit(PRIOR + 1).count() > PRIOR:
+        raise ValueError(f"{PRIOR} prior clusters at most")
     met = new.select(F.col("id").alias("new_id"), F.col("centroid").alias("a")).join(F.broadcast(prior.select(F.col("id").alias("prior_id"), F.col("centroid").alias("b"))))
     scored = met.withColumn("similarity", F.round(cosine(F.col("a"), F.col("b")), 6))
     best = scored.groupBy("new_id").agg(F.max(F.struct("similarity", (-F.col("prior_id")).alias("p"))).alias("best"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +50,19 @@ def run_once(spark: SparkSession, stream: DataFrame, key: list[str], mode: str)
 def last_events(events: DataFrame, key: str) -> DataFrame:
     """The last write of each key so far: a streaming aggregate by event time and id."""
     return events.groupBy(key).agg(F.max(F.struct("ts", "event_id")).alias("_m")).select(key, F.col("_m.event_id").alias("event_id"))
+
+
+def histories(events: DataFrame, key: str, value: str, most: int = 5) -> DataFrame:
+    """``key, last5``: the last values of each key by value, as state between batches;
+    the state of a key holds ``most`` values."""
+    kind = dict(events.dtypes)
+
+    def run(own, frames, state):
+        held = list(state.get[0]) if state.exists else []
+        for frame in frames:
+            held = sorted({*held, *frame[value].tolist()})[-most:]
+        state.update((held,))
+        yield pd.DataFrame({key: [own[0]], "last5": [",".join(map(str, held))]})
+
+    grouped = events.select(key, value).groupBy(key)
+    return grouped.applyInPandasWithState(run, f"{key} {kind[key]}, last5 string", f"held array<{kind[value]}>", "update", "NoTimeout")
