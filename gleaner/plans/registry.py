@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     """Import the modules whose plans register themselves."""
-    from gleaner.plans import areas, dashboard, evaluation, funnel, prep, readside, scoring, texts  # noqa: F401
+    from gleaner.plans import areas, dashboard, evaluation, funnel, prep, readside, scoring, sources, texts  # noqa: F401
