@@ -1,9 +1,11 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
 Items are partitioned by the size of their shingle set, each partition with an
-upper bound that doubles. An item is sketched by its k least shingle hashes, k
-being one more than the number of shingles that an item of the partition's bound
-may miss at the threshold; an item contained in a document to the threshold or
+upper bound that doubles. An item is sketched by k of its shingle hashes, those
+that the fewest items have and of these the least, k being one more than the
+number of shingles that an item of the partition's bound may miss at the
+threshold; so a shingle that many items share is looked up for none that has
+others. An item contained in a document to the threshold or
 more then has at least one sketched shingle in it, so the search loses nothing,
 however long the document. Documents look their shingle hashes up in the
 sketches, and candidates alone are verified by exact containment of the shingle
@@ -61,10 +63,12 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST
 
 def sketches(items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """``hash, ik``: the sketch of every item (ik: hash of item_id and text)."""
-    own = items.withColumn("w", words(F.col("text"))).select("ik", F.array_sort(F.array_distinct(shingle_hashes("w", shingle))).alias("h")).where(F.size("h") > 0)
+    own = items.withColumn("w", words(F.col("text"))).select("ik", F.explode(F.array_distinct(shingle_hashes("w", shingle))).alias("hash"))
+    common = own.groupBy("hash").agg(F.count("*").alias("df"))
+    listed = own.join(common, "hash").groupBy("ik").agg(F.array_sort(F.collect_list(F.struct("df", "hash"))).alias("h"))
     bound = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("h").cast("double"))))
     k = F.floor(F.lit(1 - threshold) * bound + F.lit(1e-9)).cast("int") + 1
-    return own.select("ik", F.explode(F.slice("h", F.lit(1), k)).alias("hash"))
+    return listed.select("ik", F.explode(F.slice("h", F.lit(1), k)).alias("s")).select("ik", "s.hash")
 
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, scratch: Scratch | None = None) -> DataFrame:
