@@ -40,7 +40,7 @@ from gleaner.scratch import Scratch
 #: Rows of one key that are verified at once; more are cut into pairs of chunks.
 BLOCK = 256
 #: The same for sets of shingles, which are larger.
-SET_BLOCK = 256
+SET_BLOCK = 128
 
 
 def majority(digests: list[bytes], weights: np.ndarray | None = None) -> int:
