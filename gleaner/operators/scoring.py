@@ -49,9 +49,9 @@ def engagement(items: DataFrame, cap: int, alpha: float) -> DataFrame:
 def source_shares(items: DataFrame) -> DataFrame:
     """``area_id, source, n, n_source, share`` for every area and corpus source,
     0 where an area has none."""
-    corpus = items.groupBy("source").agg(F.count("*").alias("n_source"))
-    grid = items.select("area_id").distinct().join(corpus)  # areas by sources: both are dimension-sized
-    own = items.groupBy("area_id", "source").agg(F.count("*").alias("n"))
+    own = items.groupBy("area_id", "source").agg(F.count("*").alias("n"))  # all that follows is of these few rows
+    corpus = own.groupBy("source").agg(F.sum("n").alias("n_source"))
+    grid = own.select("area_id").distinct().join(corpus)  # areas by sources: both are dimension-sized
     met = grid.join(own, ["area_id", "source"], "left").fillna(0, ["n"])
     return met.withColumn("share", F.col("n") / F.col("n_source"))
 
