@@ -70,37 +70,44 @@ def step_score(share: Column, thresholds: tuple[float, ...] = THRESHOLDS) -> Col
     return sum(((share >= t).cast("int") for t in thresholds), F.lit(1)).cast("double")
 
 
-def severity(items: DataFrame) -> DataFrame:
-    """0.5 intensity + 0.3 * 5 * stakes + 0.2 * 5 * low ratings; without ratings the
-    first two count 0.625 and 0.375. Intensity leaves out 0 as it does null."""
-    felt = F.when(F.col("frustration") > 0, F.col("frustration"))
-    sums = items.groupBy("area_id").agg(
-        F.coalesce(F.sum(felt) / F.count(felt), F.lit(0.0)).alias("intensity"), (F.count_if("high_stakes") / F.count("*")).alias("stakes"),
-        (F.count_if(F.col("rating") <= 2) / F.nullif(F.count("rating"), F.lit(0))).alias("low_share"),
-    )
+def area_sums(items: DataFrame) -> DataFrame:
+    """One row of exact sums per area, from which four dimensions follow. Items are
+    first summed by area, platform and category, so that what is counted distinct
+    is counted over those few rows and a hot area is spread over many groups."""
+    felt, sure = F.when(F.col("frustration") > 0, F.col("frustration")), F.when(F.col("strength") > 0, F.col("strength"))
+    parts = {
+        "felt": F.sum(felt), "n_felt": F.count(felt), "n_stakes": F.count_if("high_stakes"), "n_rated": F.count("rating"), "n_low": F.count_if(F.col("rating") <= 2),
+        "relevance10": F.sum("relevance10"), "n_vague": F.count_if(F.col("retrieval_type") == "vague"), "sure": F.sum(sure), "n_sure": F.count(sure), "n_items": F.count("*"),
+    }
+    few = items.groupBy("area_id", "platform", "category").agg(*[c.alias(k) for k, c in parts.items()])
+    return few.groupBy("area_id").agg(*[F.sum(k).alias(k) for k in parts], F.countDistinct("platform").alias("platforms"), F.countDistinct("category").alias("n_categories"))
+
+
+def severity(sums: DataFrame) -> DataFrame:
+    """area_sums with 0.5 intensity + 0.3 * 5 * stakes + 0.2 * 5 * low ratings; without
+    ratings the first two count 0.625 and 0.375. Intensity leaves out 0 as it does null."""
+    own = sums.withColumns({"intensity": F.coalesce(F.try_divide("felt", "n_felt").cast("double"), F.lit(0.0)), "stakes": F.col("n_stakes") / F.col("n_items"), "low_share": F.try_divide("n_low", "n_rated").cast("double")})
     rated = 0.5 * F.col("intensity") + 0.3 * 5 * F.col("stakes") + 0.2 * 5 * F.col("low_share")
-    return sums.withColumn("severity", clamp(F.when(F.col("low_share").isNull(), 0.625 * F.col("intensity") + 0.375 * 5 * F.col("stakes")).otherwise(rated)))
+    return own.withColumn("severity", clamp(F.when(F.col("low_share").isNull(), 0.625 * F.col("intensity") + 0.375 * 5 * F.col("stakes")).otherwise(rated)))
 
 
-def strategic_fit(items: DataFrame) -> DataFrame:
-    """5 * mean relevance * share of vague items."""
-    sums = items.groupBy("area_id").agg((F.sum("relevance10") / (10 * F.count("*"))).alias("relevance"), (F.count_if(F.col("retrieval_type") == "vague") / F.count("*")).alias("vague_share"))
-    return sums.withColumn("strategic_fit", clamp(5 * F.col("relevance") * F.col("vague_share")))
+def strategic_fit(sums: DataFrame) -> DataFrame:
+    """area_sums with 5 * mean relevance * share of vague items."""
+    own = sums.withColumns({"relevance": F.col("relevance10") / (10 * F.col("n_items")), "vague_share": F.col("n_vague") / F.col("n_items")})
+    return own.withColumn("strategic_fit", clamp(5 * F.col("relevance") * F.col("vague_share")))
 
 
-def evidence_quality(items: DataFrame) -> DataFrame:
-    """0.4 strength + 0.3 * 5 * platforms (4 are enough) + 0.3 * 5 * log count (50 are enough)."""
-    sums = items.groupBy("area_id").agg(F.avg(F.when(F.col("strength") > 0, F.col("strength"))).alias("mean_strength"), F.countDistinct("platform").alias("platforms"), F.count("*").alias("n_items"))
+def evidence_quality(sums: DataFrame) -> DataFrame:
+    """area_sums with 0.4 strength + 0.3 * 5 * platforms (4 are enough) + 0.3 * 5 * log count (50 are enough)."""
     volume = F.when(F.col("n_items") < 2, 0.0).otherwise(F.least(F.lit(1.0), F.ln(F.col("n_items")) / F.ln(F.lit(50.0))))
-    score = 0.4 * F.col("mean_strength") + 0.3 * 5 * F.least("platforms", F.lit(4)) / 4 + 0.3 * 5 * volume
+    score = 0.4 * F.try_divide("sure", "n_sure") + 0.3 * 5 * F.least("platforms", F.lit(4)) / 4 + 0.3 * 5 * volume
     return sums.withColumn("evidence_quality", clamp(score))
 
 
-def rubric(items: DataFrame) -> DataFrame:
-    """Heuristic leverage and research value from categories and vagueness."""
-    sums = items.groupBy("area_id").agg(F.countDistinct("category").alias("n_categories"), (F.count_if(F.col("retrieval_type") == "vague") / F.count("*")).alias("v"))
+def rubric(sums: DataFrame) -> DataFrame:
+    """area_sums with heuristic leverage and research value from categories and vagueness."""
     leverage = F.when(F.col("n_categories") >= 8, 4.0).when(F.col("n_categories") >= 4, 3.0).otherwise(2.0)
-    return sums.select("area_id", leverage.alias("product_leverage"), clamp(1 + 4 * F.col("v")).alias("research_value"))
+    return sums.withColumns({"product_leverage": leverage, "research_value": clamp(1 + 4 * F.col("n_vague") / F.col("n_items"))})
 
 
 def frequency(vague: DataFrame, cap: int = 200, alpha: float = 0.15, raw_weight: float = 0.5) -> DataFrame:
@@ -138,11 +145,10 @@ def low_evidence(items: Column, quality: Column) -> Column:
 
 def area_scores(items: DataFrame) -> DataFrame:
     """All six dimensions of each area, two decimals, with its number of items. The
-    items are written once and read by each dimension."""
+    items are written once and read for the frequency and for all other dimensions."""
     items = Scratch(items.sparkSession, "scores").write(items, "items")
-    met = frequency(items.where("retrieval_type = 'vague'"))
-    for part in (severity(items).select("area_id", "severity"), strategic_fit(items).select("area_id", "strategic_fit"), evidence_quality(items).select("area_id", "evidence_quality", "n_items"), rubric(items)):
-        met = met.join(part, "area_id")
+    sums = rubric(evidence_quality(strategic_fit(severity(area_sums(items)))))
+    met = frequency(items.where("retrieval_type = 'vague'")).join(sums, "area_id")
     return met.select("area_id", "n_items", *[two(F.col(d)).alias(d) for d in DIMENSIONS])
 
 

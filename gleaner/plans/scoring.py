@@ -71,17 +71,17 @@ def frequency_quantile(spark, sf_dir):
 
 @query("severity_score", f"WITH {_V}{_SEV} SELECT area_id, round(intensity, 6) AS intensity, round(stakes, 6) AS stakes, round(low_share, 6) AS low_share, round(severity, 6) AS severity FROM svs")
 def severity_score(spark, sf_dir):
-    return s.severity(_items(spark, sf_dir)).select("area_id", *[F.round(c, 6).alias(c) for c in ("intensity", "stakes", "low_share", "severity")])
+    return s.severity(s.area_sums(_items(spark, sf_dir))).select("area_id", *[F.round(c, 6).alias(c) for c in ("intensity", "stakes", "low_share", "severity")])
 
 
 @query("strategic_fit", f"WITH {_V}{_FIT} SELECT area_id, round(relevance, 6) AS relevance, round(vague_share, 6) AS vague_share, round(strategic_fit, 6) AS strategic_fit FROM fit")
 def strategic_fit(spark, sf_dir):
-    return s.strategic_fit(_items(spark, sf_dir)).select("area_id", *[F.round(c, 6).alias(c) for c in ("relevance", "vague_share", "strategic_fit")])
+    return s.strategic_fit(s.area_sums(_items(spark, sf_dir))).select("area_id", *[F.round(c, 6).alias(c) for c in ("relevance", "vague_share", "strategic_fit")])
 
 
 @query("evidence_quality", f"WITH {_V}{_EQ} SELECT area_id, platforms, n_items, round(evidence_quality, 6) AS evidence_quality FROM eq")
 def evidence_quality(spark, sf_dir):
-    return s.evidence_quality(_items(spark, sf_dir)).select("area_id", "platforms", "n_items", F.round("evidence_quality", 6).alias("evidence_quality"))
+    return s.evidence_quality(s.area_sums(_items(spark, sf_dir))).select("area_id", "platforms", "n_items", F.round("evidence_quality", 6).alias("evidence_quality"))
 
 
 @query("composite_rank", f"SELECT area_id, composite, band, low_evidence, rank FROM ({_ranked('evidence_quality DESC, n_items DESC, area_id')})")
