@@ -8,7 +8,7 @@ from gleaner.plans.dashboard import _LOG, _STG, _curation_log, _stages
 from gleaner.plans.registry import query
 from gleaner.scratch import Scratch
 from gleaner.session import table
-from gleaner.sources import reviews
+from gleaner.sources import cards, reviews
 
 
 @query("store_reviews", "WITH r AS (SELECT event_id % 300 AS id, 'c' || (user_id % 5) AS country, strftime(ts, '%Y-%m-%d') AS at_, event_id FROM events) SELECT 'v' || id AS review_id, string_agg(DISTINCT country, ',' ORDER BY country) AS countries, arg_min(event_id, (country, event_id))::VARCHAR AS score FROM r GROUP BY id")
@@ -56,3 +56,15 @@ def latest_cluster_run(spark, sf_dir):
     wrote = own.where("stage = 'click'").select("run_id").distinct()
     usable = own.where("stage = 'view' and status in ('success', 'partial') and run_id != 'run-5'").join(wrote, "run_id", "left_semi")
     return usable.orderBy(F.desc("started_at"), F.desc("run_id")).limit(1).select("run_id")
+
+
+@query("review_cards", r"""SELECT doc_id::VARCHAR AS review_id, 'T' || doc_id AS title, trim(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]+', ' ', 'g')) AS content, (1 + doc_id % 5)::INT AS rating, source AS author FROM documents""")
+def review_cards(spark, sf_dir):
+    """Pages that show each text twice, cut in the list and whole in a dialog, read back."""
+    d = table(spark, sf_dir, "documents").withColumn("plain", F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z0-9]+", " ")))
+    card = lambda text: F.concat(
+        F.format_string('<div aria-labelledby="review-%d-title"><h3>T%d</h3><ol aria-label="%d Stars"></ol>', "doc_id", "doc_id", 1 + F.col("doc_id") % 5),
+        F.coalesce(F.concat(F.lit('<p class="author">'), "source", F.lit("</p>")), F.lit("")), F.lit('<p class="content">'), text, F.lit("</p></div>"),
+    )
+    pages = d.select("doc_id", F.concat(card(F.substring("plain", 1, 20)), F.lit("<dialog>"), card(F.col("plain")), F.lit("</dialog>")).alias("html"))
+    return cards.review_cards(pages, "doc_id").select("review_id", "title", "content", "rating", "author")
