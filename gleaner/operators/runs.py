@@ -10,11 +10,27 @@ import re
 import numpy as np
 
 
+def majority(clusters: list[dict]) -> object:
+    """The category that most members have, of equal ones that of the largest cluster."""
+    weight: dict[object, int] = {}
+    for c in clusters:
+        weight[c["category"]] = weight.get(c["category"], 0) + c["size"]
+    return max(clusters, key=lambda c: (weight[c["category"]], c["size"]))["category"]
+
+
 def group_clusters(clusters: list[dict], threshold: float) -> list[list[str]]:
-    """Agglomerate clusters (id, category, centroid, size, fixed): the closest pair of
-    one category joins while its cosine reaches the threshold; two groups that both
-    hold a fixed area never join."""
-    groups = [{"ids": [c["id"]], "category": c["category"], "sum": np.asarray(c["centroid"], float) * c["size"], "fixed": bool(c.get("fixed"))} for c in clusters]
+    """Agglomerate clusters (id, category, centroid, size, fixed): those of one fixed area
+    (its id; True is an area of its own) begin together, then the closest pair of one
+    category joins while its cosine reaches the threshold; two groups that both hold a
+    fixed area never join. The largest group comes first."""
+    seeds: dict[object, list[dict]] = {}
+    for c in sorted(clusters, key=lambda c: bool(c.get("fixed"))):  # free ones first, which decides between equally close pairs
+        fixed = c.get("fixed")
+        seeds.setdefault(("area", fixed) if isinstance(fixed, str) and fixed else ("own", c["id"]), []).append(c)
+    groups = []
+    for own in seeds.values():
+        total = sum(np.asarray(c["centroid"], float) * c["size"] for c in own)
+        groups.append({"ids": [c["id"] for c in own], "category": majority(own), "sum": total, "size": sum(c["size"] for c in own), "fixed": bool(own[0].get("fixed"))})
     unit = lambda v: v / max(float(np.linalg.norm(v)), 1e-12)
     while True:
         best = None
@@ -27,21 +43,21 @@ def group_clusters(clusters: list[dict], threshold: float) -> list[list[str]]:
                 if near >= threshold and (best is None or near > best[0]):
                     best = near, i, j
         if best is None:
-            return [g["ids"] for g in groups]
+            return [g["ids"] for g in sorted(groups, key=lambda g: (-g["size"], g["ids"][0]))]
         _, i, j = best
-        other = groups.pop(j)
-        groups[i] = {"ids": groups[i]["ids"] + other["ids"], "category": other["category"], "sum": groups[i]["sum"] + other["sum"], "fixed": groups[i]["fixed"] or other["fixed"]}
+        a, b = groups[i], groups.pop(j)
+        groups[i] = a | {"ids": a["ids"] + b["ids"], "sum": a["sum"] + b["sum"], "size": a["size"] + b["size"], "fixed": a["fixed"] or b["fixed"]}
 
 
 def resolve_merges(merges: dict[str, str]) -> dict[str, str]:
-    """The end of each merge chain; a cycle ends where it would close."""
+    """The end of each merge chain. A chain that runs into a cycle ends where it meets
+    the cycle, so an area of a cycle stays itself."""
     out = {}
     for start in merges:
-        seen, at = {start}, start
-        while at in merges and merges[at] not in seen:
-            at = merges[at]
-            seen.add(at)
-        out[start] = at
+        path = [start]
+        while (after := merges.get(path[-1])) is not None and after not in path:
+            path.append(after)
+        out[start] = path[-1] if after is None else after
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleaner.operators import curated
 from gleaner.plans.dashboard import _LOG, _STG, _curation_log, _stages
 from gleaner.plans.registry import query
 from gleaner.scratch import Scratch
@@ -68,3 +69,19 @@ def review_cards(spark, sf_dir):
     )
     pages = d.select("doc_id", F.concat(card(F.substring("plain", 1, 20)), F.lit("<dialog>"), card(F.col("plain")), F.lit("</dialog>")).alias("html"))
     return cards.review_cards(pages, "doc_id").select("review_id", "title", "content", "rating", "author")
+
+
+_CURATED = [("a1", "merge", "a2"), ("a2", "merge", "a5"), ("a3", "merge", "a4"), ("a4", "merge", "a3"), ("a6", "status", "archived"), ("a0", "name", "zero"), ("a1", "name", "one")]
+
+
+@query("curated_areas", """WITH k AS (SELECT n_nationkey::VARCHAR AS cluster_id, n_regionkey AS category, count(c_custkey) AS size, 'a' || (n_nationkey % 12) AS home FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL),
+  h AS (SELECT *, CASE WHEN home IN ('a1', 'a2') THEN 'a5' ELSE home END AS area_id FROM k), w AS (SELECT area_id, category, sum(size) AS w, max(size) AS largest FROM h GROUP BY 1, 2),
+  c AS (SELECT area_id, arg_max(category, (w, largest, -category)) AS category FROM w GROUP BY 1), a AS (SELECT area_id, string_agg(cluster_id, ',' ORDER BY size DESC, cluster_id) AS clusters, sum(size)::BIGINT AS size FROM h GROUP BY 1)
+  SELECT area_id, clusters, category, size, CASE area_id WHEN 'a6' THEN 'archived' ELSE 'active' END AS status, CASE area_id WHEN 'a0' THEN 'zero' END AS name, CASE area_id WHEN 'a5' THEN 'a1,a2' ELSE '' END AS merged_from, NULL AS merged_into FROM a JOIN c USING (area_id)
+  UNION ALL SELECT home, '', category, 0, 'merged', CASE home WHEN 'a1' THEN 'one' END, '', area_id FROM (SELECT DISTINCT home, area_id FROM h WHERE home <> area_id) JOIN c USING (area_id)""")
+def curated_areas(spark, sf_dir):
+    """Nations as clusters, dealt to areas that corrections merge, name and archive."""
+    n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("size"))
+    clusters = n.join(c, "n_nationkey", "left").select(F.col("n_nationkey").cast("string").alias("cluster_id"), F.col("n_regionkey").alias("category"), F.coalesce("size", F.lit(0)).alias("size"), F.concat(F.lit("a"), (F.col("n_nationkey") % 12).cast("string")).alias("area_id"))
+    own = curated.areas(clusters, spark.createDataFrame(_CURATED, "target_id string, field string, value string"), 10)
+    return own.select("area_id", F.array_join("clusters", ",").alias("clusters"), "category", "size", "status", "name", F.array_join("merged_from", ",").alias("merged_from"), "merged_into")

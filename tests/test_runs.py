@@ -3,10 +3,11 @@ import shutil
 import subprocess
 import sys
 
+import pytest
 from conftest import ROOT
 from pyspark.sql import functions as F
 
-from gleaner.operators import funnel, runs
+from gleaner.operators import curated, funnel, runs
 from gleaner.scratch import Scratch
 from gleaner.session import BATCH_BYTES, ship
 
@@ -18,7 +19,27 @@ def test_clusters_group_by_category_and_closeness():
 
 
 def test_merge_chains_end():
-    assert runs.resolve_merges({"a": "b", "b": "c", "x": "y", "y": "x"}) == {"a": "c", "b": "c", "x": "y", "y": "x"}
+    assert runs.resolve_merges({"a": "b", "b": "c", "x": "y", "y": "x", "w": "x"}) == {"a": "c", "b": "c", "x": "x", "y": "y", "w": "x"}
+
+
+def test_clusters_of_one_area_begin_together():
+    c = lambda i, cat, v, n, fixed=None: {"id": i, "category": cat, "centroid": v, "size": n, "fixed": fixed}
+    own = [c("a", "x", [1, 0], 2, "p"), c("b", "y", [0, 1], 3, "p"), c("c", "y", [0.4, 0.9], 9), c("d", "y", [0, 1], 1, "q")]
+    assert runs.group_clusters(own, 0.8) == [["c", "a", "b"], ["d"]]  # cosines with c: 0.986 of a and b together, 0.914 of d
+    assert runs.group_clusters(own, 0.99) == [["c"], ["a", "b"], ["d"]]
+
+
+def test_curated_areas(spark):
+    clusters = spark.createDataFrame([("k1", "x", 5, "a"), ("k2", "y", 4, "a"), ("k3", "y", 3, "b"), ("k4", "x", 1, "c"), ("k5", "z", 2, "l")], "cluster_id string, category string, size long, area_id string")
+    log = spark.createDataFrame([("b", "merge", "a"), ("l", "merge", "m"), ("m", "merge", "l"), ("c", "status", "archived"), ("a", "name", "One"), ("b", "name", "Two")], "target_id string, field string, value string")
+    got = {r["area_id"]: tuple(r)[1:] for r in curated.areas(clusters, log, least=5).collect()}
+    assert got == {
+        "a": (["k1", "k2", "k3"], "y", 12, "active", "One", ["b"], None, False), "l": (["k5"], "z", 2, "active", None, [], None, True),
+        "c": (["k4"], "x", 1, "archived", None, [], None, True), "b": ([], "y", 0, "merged", "Two", [], "a", True),
+    }
+    assert curated.areas(clusters.limit(0), log, 5).count() == 0 and curated.areas(clusters, log.limit(0), 5).count() == 4
+    with pytest.raises(ValueError):
+        curated.areas(clusters, spark.range(3).selectExpr("cast(id as string) target_id", "'merge' field", "'x' value"), 5, most=2)
 
 
 def test_regression_gate():
