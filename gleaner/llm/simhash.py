@@ -154,12 +154,12 @@ def near_links(nodes: DataFrame, scratch: Scratch, distance: int = 3, blocks: in
     nodes = nodes.select("id", "fp", *(["fp2"] if second is not None else []))
     keyed = block_keys(nodes, blocks, distance)
     counts = shared_keys(keyed, scratch)
-    shared = keyed.join(counts, "key")
+    shared = keyed.join(counts.hint("merge"), "key")
     edges = link(shared.where(F.col("n") <= block), kernel, block)
     if counts.where(F.col("n") > block).head(1):
         crowded = scratch.write(shared.where(F.col("n") > block).select(*nodes.columns).distinct(), "crowded")
         keyed = block_keys(crowded, finer, distance)
-        edges = edges.union(link(keyed.join(shared_keys(keyed, scratch), "key"), kernel, block))
+        edges = edges.union(link(keyed.join(shared_keys(keyed, scratch).hint("merge"), "key"), kernel, block))
     return edges
 
 
@@ -209,27 +209,29 @@ def shingle_sets(texts: DataFrame, shingle: int = 5, seed: int = 42) -> DataFram
 def near_groups(docs: DataFrame, scratch: Scratch, threshold: float = 0.8, shingle: int = 5, distance: int = 5, second: int = 16, seed: int = 42) -> DataFrame:
     """``doc_id, rk, group`` of each row of docs: rows of one group hold the same words
     or are linked by texts that are similar to the threshold. rk is the hash of doc_id
-    and text; group, an id of texts, is null for rows without another like them."""
+    and text; group, an id of texts, is null for rows without another like them.
+    What grows with the input is joined by shuffles, as the driver builds every table
+    that is broadcast."""
     own = scratch.write(signatures(docs, shingle, seed), "signatures")
     nodes = own.groupBy("id").agg(F.min("fp").alias("fp"), F.min("fp2").alias("fp2"), F.min("rk").alias("rk"), F.count("*").alias("copies"))
     nodes = scratch.write(nodes, "distinct")
     close = near_links(nodes, scratch, distance, blocks=distance + 2, finer=distance + 3, second=second)
     hamming = scratch.write(connected_components(close, scratch), "hamming")
-    members = scratch.write(hamming.join(nodes.select(F.col("id").alias("node"), "rk"), "node"), "members")
+    members = scratch.write(hamming.hint("merge").join(nodes.select(F.col("id").alias("node"), "rk"), "node"), "members")
     met = docs.withColumn("_rk", F.xxhash64("doc_id", "text")).select("_rk", "text").join(members.select("rk", F.col("node").alias("id")).hint("shuffle_hash"), F.col("_rk") == F.col("rk"))
     sets = scratch.write(shingle_sets(met, shingle, seed).dropDuplicates(["id"]), "sets")
     sizes = members.groupBy("component").agg(F.count("*").alias("n"))
-    shared = members.join(sizes, "component").select(F.col("component").alias("key"), "n", F.col("node").alias("id")).join(sets, "id")
+    shared = members.join(sizes.hint("merge"), "component").select(F.col("component").alias("key"), "n", F.col("node").alias("id")).hint("merge").join(sets, "id")
 
     def kernel(at: np.ndarray, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         return similar_edges(at, table.column("id").to_numpy(), table.column("shingles").combine_chunks(), threshold)
 
     verified = link(shared, kernel, SET_BLOCK)
     linked = scratch.write(connected_components(verified, scratch), "linked")
-    alone = nodes.where("copies > 1").join(linked, nodes.id == linked.node, "left_anti").select("id", F.col("id").alias("group"))
+    alone = nodes.where("copies > 1").join(linked.hint("merge"), nodes.id == linked.node, "left_anti").select("id", F.col("id").alias("group"))
     classes = scratch.write(linked.select(F.col("node").alias("id"), F.col("component").alias("group")).union(alone), "groups")
     scratch.drop(nodes, hamming, members, sets)
-    return own.join(classes, "id", "left").select("doc_id", "rk", "group")
+    return own.join(classes.hint("merge"), "id", "left").select("doc_id", "rk", "group")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, seed: int = 42, distance: int = 3, scratch: Scratch | None = None) -> DataFrame:
@@ -258,7 +260,7 @@ def one_per_group(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) ->
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk")).alias("first")
     kept = rows.groupBy("group").agg(first).select(F.col("first.rk").alias("rk"), F.lit(True).alias("stays"))
     # a row hash of a group either goes, or stays for one row
-    fate = rows.groupBy("rk").agg(F.count("*").alias("rows")).join(kept, "rk", "left")
+    fate = rows.groupBy("rk").agg(F.count("*").alias("rows")).join(kept.hint("merge"), "rk", "left")
     fate = scratch.write(fate.select(F.col("rk").alias("_at"), F.coalesce("stays", F.lit(False)).alias("_stays"), (F.col("rows") > 1).alias("_again")), "fate")
     met = docs.withColumn("_rk", F.xxhash64("doc_id", "text")).join(fate.where("_again or not _stays").hint("shuffle_hash"), F.col("_rk") == F.col("_at"), "left")
     met = met.where("_stays is null or _stays")

@@ -309,6 +309,14 @@ def test_near_groups_by_brute_force(spark, sf_dir):
     assert sum(len(g & kept) == 1 for g in groups.values()) >= 0.97 * len(groups)
 
 
+def test_near_groups_broadcast_nothing(spark, sf_dir, monkeypatch):
+    plans, write = [], Scratch.write
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(Scratch, "write", lambda self, df, *a, **k: plan(df) or write(self, df, *a, **k))
+    plan(simhash.one_per_group(table(spark, sf_dir, "documents")))
+    assert len(plans) > 10 and not [p for p in plans if "BroadcastExchange" in p]
+
+
 def test_one_row_of_each_group_stays(spark):
     rng = random.Random(11)
     x, y, z = _prose(rng, 80), _prose(rng, 80), _prose(rng, 300)
