@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXEMPLARS, PRIOR = 1000, 10_000
+#: Distances that density clustering holds at once.
+CELLS = 1 << 21
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -88,27 +90,57 @@ def reduced(vectors: DataFrame, dimensions: int, vector: str = "vector") -> Data
     return out.unionByName(vectors.where(F.col(vector).isNull()).withColumn("reduced", F.lit(None).cast("array<double>")))
 
 
+def core_distances(points: np.ndarray, k: int) -> np.ndarray:
+    """Squared distance of each point to its k-th neighbour, the point itself being
+    the first of all; a block of rows at a time."""
+    n, sums = len(points), (points**2).sum(1)
+    out, step = np.empty(n), max(1, CELLS // n)
+    for at in range(0, n, step):
+        d = points[at : at + step] @ points.T
+        d *= -2
+        d += sums
+        d += sums[at : at + step, None]
+        d.partition(k, axis=1)
+        out[at : at + step] = d[:, k]
+    return np.maximum(out, 0)
+
+
+def reach_tree(points: np.ndarray, core: np.ndarray) -> list[tuple[float, int, int]]:
+    """Edges of the minimum spanning tree by mutual reachability. The distances of one
+    point are held at a time, to those that are still outside, less what they may be
+    rounded off: that to a k-th neighbour must not come out above the core distance."""
+    n, sums = len(points), (points**2).sum(1) * (1 - 1e-13)
+    rest, far, ids = points, core.copy(), np.arange(n)
+    own, best, near = sums, np.full(n, np.inf), np.zeros(n, np.int64)
+    edges, now, place, inside = [], 0, 0, 0
+    for _ in range(n - 1):
+        far[place] = best[place] = np.inf  # inside from here on
+        inside += 1
+        if 8 * inside > len(ids):
+            left = np.flatnonzero(np.isfinite(far))
+            rest, far, ids, own, best, near, inside = rest[left], far[left], ids[left], own[left], best[left], near[left], 0
+        d = rest @ points[now]
+        d *= -2
+        d += own
+        d += sums[now]
+        np.maximum(d, far, out=d)
+        np.maximum(d, core[now], out=d)
+        closer = d < best
+        best[closer], near[closer] = d[closer], now
+        place = int(best.argmin())
+        edges.append((float(np.sqrt(best[place])), int(near[place]), int(ids[place])))
+        now = int(ids[place])
+    return edges
+
+
 def density_labels(points: np.ndarray, least_size: int = 10, least_samples: int = 3) -> np.ndarray:
     """Density clusters by mutual reachability: the minimum spanning tree is cut at
-    its most persistent level; noise is -1. For the bounded insight set."""
+    its most persistent level; noise is -1. Every distance is taken and none is kept, so
+    memory grows with the points and time with their square."""
     n = len(points)
     if n < least_size:
         return np.full(n, -1)
-    d = np.sqrt(np.maximum(0, (points**2).sum(1)[:, None] + (points**2).sum(1)[None] - 2 * points @ points.T))
-    core = np.partition(d, min(least_samples, n - 1), axis=1)[:, min(least_samples, n - 1)]
-    reach = np.maximum(d, np.maximum(core[:, None], core[None]))
-    inside, best, near = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, np.int64)
-    edges, now = [], 0
-    inside[0] = True
-    for _ in range(n - 1):
-        closer = reach[now] < best
-        best[closer], near[closer] = reach[now][closer], now
-        best[inside] = np.inf
-        now = int(best.argmin())
-        edges.append((best[now], int(near[now]), now))
-        inside[now] = True
-        best[now] = np.inf
-    edges.sort()
+    edges = sorted(reach_tree(points, core_distances(points, min(least_samples, n - 1))))
     parent, size = list(range(2 * n - 1)), [1] * n + [0] * (n - 1)
     births, children, at = [0.0] * n + [0.0] * (n - 1), {}, n
 

@@ -115,11 +115,14 @@ def density_clusters(spark, sf_dir):
     """Density clusters within each label's vectors (no SQL twin)."""
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("vec_id")
         points = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
         points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
         return pd.DataFrame({"vec_id": frame["vec_id"], "label": frame["label"], "cluster": v.density_labels(points, 10, 3)})
 
-    return _vectors(spark, sf_dir).groupBy("label").applyInPandas(cluster, "vec_id long, label int, cluster long")
+    # labels are few and each takes long: ranges of a given number are not put together again
+    apart = _vectors(spark, sf_dir).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "label")
+    return apart.groupBy("label").applyInPandas(cluster, "vec_id long, label int, cluster long")
 
 
 _GOLD = "g AS (SELECT d.doc_id, source, quality AS gold, toxic AS pred FROM documents d JOIN labels l USING (doc_id))"

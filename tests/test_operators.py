@@ -1,15 +1,21 @@
+import os
+import tracemalloc
 from datetime import datetime
 
 import numpy as np
 import pytest
+from oracle import assert_same
 from pyspark.sql import functions as F
 
 from gleaner.functions import cleaning, python_text, scalars, text
-from gleaner.operators import areas, dedup, filters, scoring, tables, vectors
+from gleaner.operators import areas, clusters, dedup, filters, scoring, tables, vectors
 from gleaner.operators.components import connected_components
+from gleaner.plans import registry, texts
 from gleaner.scratch import Scratch
 from gleaner.sources import pages
 
+registry.load()
+
 
 def test_quantile_of_ties(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate((0.1, 0.4, 0.4, 0.2, 0.9))], "area_id int, v double")
@@ -212,3 +218,12 @@ def test_whole_deduplication_equals_the_sequential_one(spark):
     assert all(r["earliest"] == first[r["canonical_id"]] for r in got.values())
     stats = dedup.statistics(dedup.deduplicate(df, Scratch(spark, "t"), authors=3)).head()
     assert stats["remaining"] == len(set(end.values())) and stats["near_merged"] == len(near) and stats["exact_merged"] + stats["review_id_merged"] == len(drop)
+
+
+def test_density_keeps_no_matrix():
+    points = np.random.default_rng(1).normal(0, 1, (3000, 4))
+    tracemalloc.start()
+    labels = vectors.density_labels(points)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(labels) == 3000 and peak < 8 * 3000 * 3000
