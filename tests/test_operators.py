@@ -227,3 +227,9 @@ def test_density_keeps_no_matrix():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(labels) == 3000 and peak < 8 * 3000 * 3000
+
+
+def test_sweep_takes_any_number_of_points(spark):
+    df = spark.range(20_001).select(F.col("id").alias("vec_id"), F.array(F.cos(F.col("id") % 3 + F.rand(2) / 9), F.sin(F.col("id") % 3 + F.rand(3) / 9)).alias("vector"))
+    row = clusters.sweep(df, [(10, 3)]).head()
+    assert (row["least_size"], row["least_near"]) == (10, 3) and row["n_clusters"] > 0
