@@ -220,6 +220,21 @@ def test_whole_deduplication_equals_the_sequential_one(spark):
     assert stats["remaining"] == len(set(end.values())) and stats["near_merged"] == len(near) and stats["exact_merged"] + stats["review_id_merged"] == len(drop)
 
 
+def test_merge_sample_places_every_merge(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, int(rng.integers(0, 500)), ["near", "exact", "review_id", "other"][int(rng.integers(0, 4))]) for i in range(1000, 2600)]
+    seen, turns, dealt = {}, {}, []
+    for i, c, reason in sorted(rows):
+        seen[c] = seen.get(c, 0) + 1
+        dealt += [(reason, c, i)] if seen[c] <= 3 else []
+    for k, (reason, c, i) in enumerate(sorted(dealt)):
+        turns[reason] = turns.get(reason, 0) + 1
+        dealt[k] = (turns[reason], {"near": 0, "exact": 1}.get(reason, 2), c, i, reason)
+    df = spark.createDataFrame(rows, "item_id long, canonical_id long, reason string")
+    got = [(r["place"], r["reason"], r["canonical_id"], r["item_id"]) for r in dedup.merge_sample(df, Scratch(spark, "t")).orderBy("place").collect()]
+    assert len(got) > 500 and got == [(k + 1, reason, c, i) for k, (_, _, c, i, reason) in enumerate(sorted(dealt))]
+
+
 def test_density_keeps_no_matrix():
     points = np.random.default_rng(1).normal(0, 1, (3000, 4))
     tracemalloc.start()
