@@ -248,3 +248,37 @@ def test_sweep_takes_any_number_of_points(spark):
     df = spark.range(20_001).select(F.col("id").alias("vec_id"), F.array(F.cos(F.col("id") % 3 + F.rand(2) / 9), F.sin(F.col("id") % 3 + F.rand(3) / 9)).alias("vector"))
     row = clusters.sweep(df, [(10, 3)]).head()
     assert (row["least_size"], row["least_near"]) == (10, 3) and row["n_clusters"] > 0
+
+
+@pytest.fixture
+def crowded(spark, sf_dir, tmp_path):
+    """Documents with groups of more copies than a candidate's shingle may have, with
+    other ends, other openings and openings alike."""
+    rng = np.random.default_rng(5)
+    prose = lambda n: [f"w{i}" for i in rng.integers(0, 400, n)]
+    own, common = [], [prose(60) for _ in range(3)]
+    for k, n in enumerate((50, 90, 45)):
+        own += [common[k]] * n
+        own += [[*common[k][:at], f"x{at}", *common[k][at:]] for at in (0, 3, 56, 58)] + [common[k] + prose(m) for m in (1, 2, 9, 40)]
+    for base in (prose(100), prose(30)):
+        own += [base, base, base[:20] + ["other"] + base[21:], [*base, "more"], base[:9] + base[11:], ["new", *base], base + prose(30)]
+    own += [prose(n) for n in (5, 11, 12, 13, 200)] + [[], prose(12) * 3]
+    rows = [(int(i), " ".join(t), "en", "s", len(" ".join(t))) for i, t in zip(rng.permutation(len(own)) + 1, own, strict=True)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in os.listdir(sf_dir):
+        if name != "documents.parquet":
+            os.symlink(f"{sf_dir}/{name}", tmp_path / name)
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["shingle_jaccard_pairs", "near_exemplars"])
+def test_pairs_of_crowded_texts_equal_sql(spark, crowded, name):
+    assert_same(spark, crowded, registry.QUERIES[name], registry.ORACLES[name])
+
+
+def test_near_pairs_write_less_than_the_texts(spark, sf_dir):
+    registry.load()
+    items, scratch = texts.items(spark, sf_dir).where("n_words >= 12"), Scratch(spark, "t")
+    found = dedup.near_pairs(items.select("item_id", "words"), scratch).count()
+    written = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(scratch.path.removeprefix("file:")) for f in names)
+    assert found and 0 < written < items.agg(F.sum(F.length("text"))).head()[0] / 2
