@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import phrase_match
-from gleaner.operators.dedup import jaccard, shingles
+from gleaner.operators import similar
+from gleaner.scratch import Scratch
 
 
 def stratum(text: Column, rating: Column, intent: list[str], vague: list[str], content: list[str], feature: list[str], low: int = 3) -> Column:
@@ -88,10 +89,20 @@ def area_review(verdicts: DataFrame, areas: DataFrame, top: int = 8, target: flo
 
 def near_exemplars(texts: DataFrame, exemplars: DataFrame, threshold: float, n: int = 5) -> DataFrame:
     """``item_id, exemplar_id``: texts (item_id, words) that are near copies of exemplars
-    (exemplar_id, words), by the Jaccard similarity of their shingles. Pairs meet in a
-    shingle, so both sides may have any size."""
-    left = texts.select("item_id", shingles(F.col("words"), n).alias("sa"))
-    right = exemplars.select("exemplar_id", shingles(F.col("words"), n).alias("sb"))
-    met = left.select("item_id", F.explode("sa").alias("s")).join(right.select("exemplar_id", F.explode("sb").alias("s")), "s").select("item_id", "exemplar_id").distinct()
-    both = met.join(left, "item_id").join(right, "exemplar_id")
-    return both.where(jaccard(F.col("sa"), F.col("sb")) >= threshold).select("item_id", "exemplar_id")
+    (exemplar_id, words), by the Jaccard similarity of their shingles. Both sides may have
+    any size: classes of equal sets that share a shingle in their prefixes are compared
+    once (``similar``), and their members are paired at the end. Ids have 62 bits."""
+    scratch, text = Scratch(texts.sparkSession, "exemplars"), similar.joined(F.col("words")).alias("text")
+    both = texts.select((F.col("item_id") * 2).alias("item_id"), text).union(exemplars.select((F.col("exemplar_id") * 2 + 1).alias("item_id"), text))
+    tokens, heads = similar.prefixes(both, threshold, n, scratch)
+    odd = F.col("item_id").bitwiseAND(F.lit(1)) == 1
+    of = tokens.groupBy("key", "cls").agg(F.max("size").alias("size"), F.max((~odd).cast("int")).alias("own"), F.max(odd.cast("int")).alias("exemplar"))
+    of = scratch.write(of, "class-prefixes")
+    met = of.alias("x").join(of.alias("y"), F.expr("x.key = y.key and x.cls < y.cls and (x.own + y.exemplar = 2 or x.exemplar + y.own = 2)"))
+    met = met.where(similar.sized("x.size", "y.size", threshold)).select(F.col("x.cls").alias("ca"), F.col("y.cls").alias("cb")).distinct()
+    found = scratch.write(similar.compared(met, heads, both, threshold, n, scratch).select("ca", "cb"), "found")
+    members = heads.where(~odd).select(F.expr("item_id div 2").alias("item_id"), F.col("cls").alias("c"))
+    known = heads.where(odd).select(F.expr("(item_id - 1) div 2").alias("exemplar_id"), F.col("cls").alias("e"))
+    linked = found.select(F.col("ca").alias("l"), F.col("cb").alias("r")).union(found.select("cb", "ca"))
+    equal = members.join(known, F.col("c") == F.col("e")).select("item_id", "exemplar_id")
+    return equal.union(members.join(linked, F.col("c") == F.col("l")).join(known, F.col("r") == F.col("e")).select("item_id", "exemplar_id"))
