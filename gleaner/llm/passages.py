@@ -269,13 +269,18 @@ def _short(words: list[bytes]) -> np.ndarray:
     return (word_hashes(words) >> _U(32)).astype(np.uint32)
 
 
-def anchor_runs(anchors: DataFrame, scratch: Scratch) -> DataFrame:
-    """``d, rk, s, e, owner, ork, os, oe, cluster, n_parts`` of anchors (uid, d, rk, s):
-    the words that they cover without a gap in a document and in the first one that has them too."""
+def shared_anchors(anchors: DataFrame, scratch: Scratch) -> DataFrame:
+    """``uid, d, rk, s, owner`` of the anchors (uid, d, rk, s) that two documents have."""
     owned = anchors.groupBy("uid").agg(F.min("d").alias("owner"), F.max("d").alias("high")).where("owner < high").drop("high")
     owned = scratch.write(owned, "anchor-classes")
     met = scratch.write(anchors.join(owned, "uid"), "anchors-met", "zstd")
     scratch.drop(owned)
+    return met
+
+
+def anchor_runs(met: DataFrame, scratch: Scratch) -> DataFrame:
+    """``d, rk, s, e, owner, ork, os, oe, cluster, n_parts`` of shared anchors:
+    the words that they cover without a gap in a document and in the first one that has them too."""
     # written, so that the join is a stage of its own, in which a crowded anchor can be split
     first = scratch.write(met.where("d = owner").groupBy("uid").agg(F.min(F.struct("rk", "s")).alias("at")), "anchor-places")
     gone = met.where("d > owner").join(first, "uid").select("d", "rk", "s", "owner", "uid", F.col("at.rk").alias("ork"), (F.col("at.s") - F.col("s")).alias("shift"))
@@ -289,15 +294,15 @@ def anchor_runs(anchors: DataFrame, scratch: Scratch) -> DataFrame:
     return runs
 
 
-def copied_spans(docs: DataFrame, anchors: DataFrame, scratch: Scratch, threshold: float, shingle: int) -> DataFrame:
-    """``d, rk, s, n, owner, cluster, n_parts, first, last``: runs of anchors whose words
+def copied_spans(docs: DataFrame, met: DataFrame, scratch: Scratch, threshold: float, shingle: int) -> DataFrame:
+    """``d, rk, s, n, owner, cluster, n_parts, first, last``: runs of shared anchors whose words
     are equal (by another hash of them), extended word by word in both texts as far as
     the spans are similar to the threshold.
 
     FAR words of the other text suffice: 2 * ANCHOR - 1 equal words have an anchor,
     so an extension that goes on longer has met another run, which is extended
     itself (and bridged with this one), or more edits than the threshold allows."""
-    runs = anchor_runs(anchors, scratch)
+    runs = anchor_runs(met, scratch)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -413,10 +418,14 @@ def repeated_spans(docs: DataFrame, min_line: int = MIN_LINE, min_run: int = MIN
     classes = scratch.write(linked.union(equal), "line-classes")
     gone_lines = lines.select("uid", "check", "d", "rk", "s", "n").join(classes, ["uid", "check"]).where("d > owner")
     gone_lines = gone_lines.select("d", "rk", "s", "n", "owner", "cluster", F.lit(1).cast("long").alias("n_parts"), F.lit(True).alias("first"), F.lit(True).alias("last"))
+    gone_lines = scratch.write(gone_lines, "line-parts")
 
-    copied = copied_spans(docs, anchors, scratch, threshold, shingle)
+    # the pieces are larger than all else, so they go before the texts are shuffled
+    met = shared_anchors(anchors, scratch)
+    scratch.drop(found, member, owners, lowest, classes)
+    copied = copied_spans(docs, met, scratch, threshold, shingle)
     parts = scratch.write(gone_lines.unionByName(copied), "parts")
-    scratch.drop(found, member, owners, lowest, classes, copied)
+    scratch.drop(gone_lines, copied)
     parts = parts.withColumn("e", F.col("s") + F.col("n"))
     order = Window.partitionBy("d", "rk").orderBy("s", "e", "cluster")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
