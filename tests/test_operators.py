@@ -282,3 +282,36 @@ def test_near_pairs_write_less_than_the_texts(spark, sf_dir):
     found = dedup.near_pairs(items.select("item_id", "words"), scratch).count()
     written = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(scratch.path.removeprefix("file:")) for f in names)
     assert found and 0 < written < items.agg(F.sum(F.length("text"))).head()[0] / 2
+
+
+@pytest.fixture
+def near_copies(spark, sf_dir, tmp_path):
+    """A folder with 150 different near copies of two texts, and the stars among them in
+    the order of canonical choice, by brute force."""
+    rng = np.random.default_rng(11)
+    prose, texts_of = [[f"w{i}" for i in rng.integers(0, 900, 200)] for _ in range(2)], {}
+    ids = [i for i in range(1, 400) if i % 17]  # no shared external id
+    for k, doc in enumerate(rng.permutation(ids)[:150].tolist()):
+        words = list(prose[k % 5 == 0])
+        for at in rng.integers(0, 200, int(rng.integers(0, 4))):
+            words[at] = f"x{doc}"
+        texts_of[doc] = " ".join([*words, f"end{doc}"])
+    rows = [(i, t, "en", "s", len(t)) for i, t in texts_of.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in os.listdir(sf_dir):
+        if name != "documents.parquet":
+            os.symlink(f"{sf_dir}/{name}", tmp_path / name)
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts_of.items())}
+    ranked, stars = sorted(sets, key=lambda i: (-len(texts_of[i]), i % 30 if i % 11 else 99, i)), {}
+    for n, i in enumerate(ranked):
+        if i not in stars:
+            stars |= {j: i for j in ranked[n + 1 :] if j not in stars and len(sets[i] & sets[j]) >= 0.85 * len(sets[i] | sets[j])}
+    assert 60 < len(stars) < 120
+    return str(tmp_path), stars
+
+
+
+def test_outcome_has_no_limit_on_common_shingles(spark, near_copies):
+    found = registry.QUERIES["dedup_outcome"](spark, near_copies[0]).where("reason is not null").collect()
+    assert {r["item_id"]: r["canonical_id"] for r in found} == near_copies[1] and {r["reason"] for r in found} == {"near"}
+    assert all(r["similarity"] >= 0.85 for r in found)
