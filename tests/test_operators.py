@@ -315,3 +315,8 @@ def test_outcome_has_no_limit_on_common_shingles(spark, near_copies):
     found = registry.QUERIES["dedup_outcome"](spark, near_copies[0]).where("reason is not null").collect()
     assert {r["item_id"]: r["canonical_id"] for r in found} == near_copies[1] and {r["reason"] for r in found} == {"near"}
     assert all(r["similarity"] >= 0.85 for r in found)
+
+
+def test_statistics_have_no_limit_on_common_shingles(spark, near_copies):
+    row = registry.QUERIES["dedup_statistics"](spark, near_copies[0]).head()
+    assert row["near_merged"] == len(near_copies[1]) and row["remaining"] == 150 - len(near_copies[1])
