@@ -310,6 +310,21 @@ def near_copies(spark, sf_dir, tmp_path):
     return str(tmp_path), stars
 
 
+def test_star_merge_has_no_limit_on_common_shingles(spark, near_copies):
+    found = registry.QUERIES["near_dup_star_merge"](spark, near_copies[0]).collect()
+    assert len(found) == len(near_copies[1]) and {r["item_id"]: r["canonical_id"] for r in found} == near_copies[1]
+
+
+def test_star_merge_takes_copies_with_their_class(spark, crowded):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{crowded}/documents.parquet").collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in docs.items()) if len(w) >= 12}
+    ranked, stars = sorted(sets, key=lambda i: (-len(docs[i]), i % 30 if i % 11 else 99, i)), {}
+    for n, i in enumerate(ranked):
+        if i not in stars:
+            stars |= {j: i for j in ranked[n + 1 :] if j not in stars and len(sets[i] & sets[j]) >= 0.85 * len(sets[i] | sets[j])}
+    found = registry.QUERIES["near_dup_star_merge"](spark, crowded).collect()
+    assert len(found) == len(stars) and {r["item_id"]: r["canonical_id"] for r in found} == stars
+
 
 def test_outcome_has_no_limit_on_common_shingles(spark, near_copies):
     found = registry.QUERIES["dedup_outcome"](spark, near_copies[0]).where("reason is not null").collect()
