@@ -335,3 +335,19 @@ def test_outcome_has_no_limit_on_common_shingles(spark, near_copies):
 def test_statistics_have_no_limit_on_common_shingles(spark, near_copies):
     row = registry.QUERIES["dedup_statistics"](spark, near_copies[0]).head()
     assert row["near_merged"] == len(near_copies[1]) and row["remaining"] == 150 - len(near_copies[1])
+
+
+def test_sweep_grid_reads_the_whole_table(spark, tmp_path):
+    rng, rows = np.random.default_rng(4), []
+    for k, label in enumerate((0, 1, 5, None)):
+        rows += [(40 * k + i, label, [float(x) for x in np.eye(4)[k] + rng.normal(0, 0.02, 4)]) for i in range(40)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = registry.QUERIES["sweep_grid"](spark, str(tmp_path)).collect()
+    points = np.array([r[2] for r in rows], np.float32).astype(np.float64)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    assert len(got) == 3
+    for r in got:
+        labels = vectors.density_labels(points, r["least_size"], r["least_near"])
+        sizes = np.bincount(labels[labels >= 0])
+        assert (r["n_clusters"], r["noise"], r["largest"]) == (len(sizes), float((labels < 0).mean()), sizes.max() / 160)
+    assert next(r["n_clusters"] for r in got if r["least_size"] == 20) == 4
